@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from promolens.llm import mixing, quality
+from promolens.llm import bpe, mixing, quality, warc
 
-MODULES = (mixing, quality)
+MODULES = (bpe, mixing, quality, warc)
 
 
 def queries() -> dict:
