@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from promolens.llm import bpe, mixing, quality, warc
+from promolens.llm import bpe, lines, mixing, quality, spotsigs, warc
 
-MODULES = (bpe, mixing, quality, warc)
+MODULES = (bpe, warc, mixing, quality, lines, spotsigs)
 
 
 def queries() -> dict:
