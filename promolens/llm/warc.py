@@ -2,7 +2,8 @@
 
 Writing. Payloads are digested by Spark; of equal payloads of at least REVISIT_BYTES the record with the largest page id is
 the response and the others are revisits that refer to it. Digests are counted before they meet (map-side), and only
-digests that repeat are joined back, salted, so that a payload that makes up a third of all rows is dealt over tasks.
+digests that repeat are joined back: broadcast if they are few, which is counted first, else salted, so that a payload
+that makes up a third of all rows is dealt over tasks.
 Records are written through Spark's text sink with the record separator CRLF CRLF as the line's end, so the
 archives are plain WARC files wherever Spark can write.
 
@@ -25,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm.common import shared_path, table
+from promolens.llm.common import shared_path, table, written
 
 #: Payloads from this size on are stored once; a repeated digest is dealt over this many join keys.
 REVISIT_BYTES, SALTS = 1000, 32
 #: Records in a file, at most.
 FILE_RECORDS = 5000
+#: Up to this many repeated digests (some 10 MB) are broadcast, and no payload is shuffled.
+BROADCAST_DIGESTS = 100_000
 
 VERSION, END = b"WARC/1.", b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -44,10 +47,14 @@ def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     p = p.withColumn("digest", F.sha1(F.col("payload").cast("binary"))).withColumn("bytes", F.octet_length("payload").cast("long"))
     big = p.where(F.col("bytes") >= revisit_bytes)
     most = big.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 AND refers_to IS NOT NULL")
-    most = most.select("digest", "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    p = p.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    p = p.join(most, ["digest", "salt"], "left").withColumn("type", F.when(F.col("refers_to").isNull() | F.col("page_id").eqNullSafe(F.col("refers_to")), "response").otherwise("revisit"))
-    return p.withColumn("refers_to", F.when((F.col("type") == "revisit") & (F.col("bytes") >= revisit_bytes), F.col("refers_to"))).drop("salt")
+    most = written(most.select("digest", "refers_to"), "digests")
+    if most.count() <= BROADCAST_DIGESTS:
+        p = p.join(F.broadcast(most), "digest", "left")
+    else:
+        most = most.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        p = p.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(most, ["digest", "salt"], "left").drop("salt")
+    p = p.withColumn("type", F.when(F.col("refers_to").isNull() | F.col("page_id").eqNullSafe(F.col("refers_to")), "response").otherwise("revisit"))
+    return p.withColumn("refers_to", F.when((F.col("type") == "revisit") & (F.col("bytes") >= revisit_bytes), F.col("refers_to")))
 
 
 def _uri(url):
