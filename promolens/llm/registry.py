@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from promolens.llm import bpe, lines, mixing, quality, spotsigs, warc
+from promolens.llm import bpe, jaccard, lines, mixing, quality, spotsigs, warc
 
-MODULES = (bpe, warc, mixing, quality, lines, spotsigs)
+MODULES = (bpe, warc, mixing, quality, lines, spotsigs, jaccard)
 
 
 def queries() -> dict:
