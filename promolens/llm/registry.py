@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from promolens.llm import bpe, jaccard, lines, mixing, quality, spotsigs, warc
+from promolens.llm import bpe, graph, jaccard, lines, mixer, mixing, quality, spotsigs, warc
 
-MODULES = (bpe, warc, mixing, quality, lines, spotsigs, jaccard)
+MODULES = (mixer, bpe, warc, mixing, quality, lines, spotsigs, graph, jaccard)
 
 
 def queries() -> dict:
