@@ -143,9 +143,9 @@ def index(vectors: DataFrame, k: int = K, shard: int = SHARD) -> DataFrame:
 def nearest(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest that the shards' beams find. graphs: a written index."""
     blocks = max(1, -(-queries.count() // block))
-    shards = graphs.select("shard", "dim").distinct()
-    q = queries.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim")).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    q = q.join(shards, "dim")
+    shards = graphs.select(F.col("shard").alias("to"), F.col("dim").alias("qdim")).distinct()
+    q = queries.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("qdim")).withColumn("qblock", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    q = q.join(shards, "qdim")
     g = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -166,8 +166,7 @@ def nearest(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM,
                 out += [(own, v, s) for s, v in pairs[:k]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    keys = ("shard", "dim", "block")
-    hits = g.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(work, "query_id long, vec_id long, score double")
+    hits = g.groupBy("shard", "dim", "block").cogroup(q.groupBy("to", "qdim", "qblock")).applyInPandas(work, "query_id long, vec_id long, score double")
     hits = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     w = W.partitionBy("query_id").orderBy("score", "vec_id")
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
