@@ -1,0 +1,29 @@
+"""Inline rows for operators that the stored tables have no text for."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+TIMINGS = [
+    "Monday–Friday 4:00 PM – 6:00 PM", "Monday–Friday 3:00 PM – 6:00 PM and 9:00 PM – close", "Daily 3:00 PM – 6:00 PM", "Daily 4:00 PM – 6:30 PM",
+    "Daily late afternoon/evening (varies by spot)", "Every Tuesday all day", "Monday all day; Tuesday–Friday 4:00 PM – 6:00 PM",
+    "Tuesday–Thursday before 6 PM", "Select evenings (Friday starting at 9 PM or similar)", "All showtimes for groups of 21+", "3-6pm", "Fri-Mon",
+    "12am - 12pm", "13pm", "lunch", "Unknown", "", "2026-06-01 to 2026-06-30",
+]
+SENTENCES = [
+    ("Happy Hour", "Happy hour daily 3pm to 6pm with $5 off cocktails"), ("Discount", "Save 20% off tickets every Tuesday"), ("Free", "Free admission for kids"),
+    ("Free", "Gluten free menu and free parking"), ("Live Music", "Live music and open bar tonight only"), ("Group Booking", "Group rate of $12.50 admission for large party"),
+    ("Matinee Deal", "Half-price matinee while supplies last"), ("Unknown", "Two for one burgers on Mondays"), ("No Incentive", "Contact us for directions"), ("Discount", "$1,200 prize $5 offset"),
+]
+
+
+def timings(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(TIMINGS)), "id int, timing string")
+
+
+def sentences(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k, c, s) for k, (c, s) in enumerate(SENTENCES)], "id int, category string, sentence string")
+
+
+def values(rows: list[tuple]) -> str:
+    """The same rows as a SQL VALUES list."""
+    text = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return "(VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows) + ")"
