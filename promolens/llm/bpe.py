@@ -22,6 +22,7 @@ import json
 import mmap
 import struct
 import tempfile
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -177,21 +178,20 @@ class Lexicon:
         at, got = 32, []
         for size, kind in zip(n, "IBBIIII", strict=True):
             end = at + size * struct.calcsize("<" + kind)
-            got.append(np.frombuffer(view[at:end], {"I": "<u4", "B": "u1"}[kind]))
+            got.append(view[at:end].cast(kind))
             at = end
         self.first, self.accept, self.label, self.target, self.ahead, self.start, self.ids = got
-        self.edges = memoryview(self.label)
 
     def find(self, word: bytes) -> bytes | None:
         """The word's ids as little-endian 32-bit integers."""
-        at, passed = self.root, 0
+        at, passed, first, label = self.root, 0, self.first, self.label
         for b in word:
-            lo, hi = int(self.first[at]), int(self.first[at + 1])
-            k = lo + int(self.label[lo:hi].searchsorted(b))
-            if k >= hi or self.edges[k] != b:
+            hi = first[at + 1]
+            k = bisect_left(label, b, first[at], hi)
+            if k == hi or label[k] != b:
                 return None
-            passed += int(self.ahead[k])
-            at = int(self.target[k])
+            passed += self.ahead[k]
+            at = self.target[k]
         return self.ids[self.start[passed] : self.start[passed + 1]].tobytes() if self.accept[at] else None
 
 
@@ -200,6 +200,7 @@ class Coder(dict):
 
     def __init__(self, vocabulary: bytes, lexicon: bytes | None):
         self.merger, self.lexicon = Merger(vocabulary), Lexicon(lexicon) if lexicon else None
+        self.frequent: dict[str, bytes] = {}  # what the lexicon held; as bounded as it is
         self.split = regex.compile(PATTERN).findall
         special = self.merger.special
         self.specials = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
@@ -207,9 +208,12 @@ class Coder(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
+            self.update(self.frequent)
         raw = word.encode()
         ids = self.lexicon.find(raw) if self.lexicon else None
-        if ids is None:
+        if ids is not None:
+            self.frequent[word] = ids
+        else:
             ids = struct.pack(f"<{len(m := self.merger.merge(raw))}I", *m)
         self[word] = ids
         return ids
