@@ -4,13 +4,13 @@ A document is the set of its distinct word shingles. Documents link when their s
 the join returns each document's component. Every pair that links is covered, without comparing all pairs:
 
 1. Sketches. Documents with equal sets become one node, the smallest id. Shingles are ordered by how frequent they are (an estimate
-   from all documents; any order is right), then by hash; two sets that link share a shingle among the first
-   n - ceil(bound * n) + 1 of each, the prefix.
+   from all documents; any order is right), then by hash; two sets that link share s(n) shingles, n being the smaller
+   size, among the first n - ceil(bound * n) + s(n) of each, the prefix; s(n) = 1 + ceil(bound * n) / STRIDE, rounded down.
 2. Groups. Nodes are partitioned by min-hash, large parts in chunks, and within a chunk those linked to a leader join it.
    Rounds with other hashes join leaders with leaders. All of these links are verified on whole sets, so a family of near
    copies, however large, becomes one or a few clusters; a cluster's nodes in chunks are the groups.
 3. Matrix. Each group stores the union of its prefixes; the matrix has a row for a token and a group. Groups of
-   different clusters that share a token are candidates: the bound on what they can overlap is not zero.
+   different clusters that share enough tokens are candidates; the others can't overlap as a link needs.
 4. Opening. The smaller cluster's nodes query the group: if a query's overlap with the union of the group's whole sets is below
    what a link needs, the group stays closed; else the query is compared with each of its members. A link joins the two clusters.
 
@@ -38,6 +38,8 @@ from promolens.llm.common import LOWER, UPPER, table, written
 NULL_ID = -(1 << 63)
 #: Rounds of grouping; nodes in a group; queries that open a group in one task.
 ROUNDS, GROUP, OPENERS = 3, 256, 1024
+#: A set's prefix is longer by one shingle for so many that a link needs; linked sets share as many more.
+STRIDE = 40
 #: Shingles that are ordered last for being frequent, at most (1 MB); they only shape the order.
 FREQUENT = 1 << 17
 #: Ids that are broadcast at most (about 16 MB); beyond, texts are shuffled to them.
@@ -88,6 +90,11 @@ def need(n, percent: int):
     return -(-percent * n // 100)
 
 
+def shared(n: int, percent: int) -> int:
+    """How many shingles the prefixes of linked sets share, n being the smaller set's size."""
+    return 1 + need(n, percent) // STRIDE
+
+
 def linked(a: int, b, both, percent: int):
     return 100 * both >= percent * (a + b - both)
 
@@ -135,7 +142,7 @@ def sketches(docs: DataFrame, width: int, percent: int, common) -> DataFrame:
                         at_ = np.minimum(np.searchsorted(known, s), len(known) - 1)
                         rank = np.where(known[at_] == s, order[at_], -1)
                     rare = s[rank < 0] if (rank < 0).any() else s
-                    first = len(s) - need(len(s), percent) + 1 if len(s) else 0
+                    first = len(s) - need(len(s), percent) + shared(len(s), percent) if len(s) else 0
                     marks = [int(mixed(rare, r).min()) - (1 << 63) for r in range(1, ROUNDS + 1)] if len(s) else None
                     for column, value in zip(rows, (len(s), int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), marks, s[np.lexsort((s, rank))[:first]].view(np.int64)), strict=True):
                         column.append(value)
@@ -207,7 +214,9 @@ def opening_links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame, width:
     c = F.col
     smaller = (c("q.size") < c("g.size")) | ((c("q.size") == c("g.size")) & (c("q.cluster") < c("g.cluster")))
     fits = (100 * c("q.most") >= percent * c("g.least")) & (100 * c("g.most") >= percent * c("q.least"))
-    pairs = q.join(g, (c("q.token") == c("g.token")) & smaller & fits).select(c("q.cluster").alias("qc"), c("q.chunk").alias("qk"), c("g.cluster").alias("cluster"), c("g.chunk").alias("chunk")).distinct()
+    pairs = q.join(g, (c("q.token") == c("g.token")) & smaller & fits)
+    pairs = pairs.groupBy(c("q.cluster").alias("qc"), c("q.chunk").alias("qk"), c("g.cluster").alias("cluster"), c("g.chunk").alias("chunk")).agg(F.count(F.lit(1)).alias("shared"), F.least(F.min("q.least"), F.min("g.least")).alias("least"))
+    pairs = pairs.where(F.col("shared") >= F.floor(F.floor((percent * F.col("least") + 99) / 100) / STRIDE) + 1).drop("shared", "least")
     pairs = written(pairs, "pairs")
     salts = pairs.groupBy("cluster", "chunk").agg(F.ceil(F.count(F.lit(1)) / OPENERS).cast("int").alias("salts"))
     member = groups.select("id", "cluster", "chunk")
@@ -260,6 +269,12 @@ def relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return written(nodes.join(labels, "cluster", "left").select("id", "n", F.coalesce("label", "cluster").alias("cluster")), "nodes")
 
 
+def led(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """nodes whose clusters' leaders b have joined smaller leaders a: a chunk's leaders have joined nobody, so no chains arise."""
+    up = links.groupBy(F.col("b").alias("cluster")).agg(F.min("a").alias("a"))
+    return written(nodes.join(up, "cluster", "left").select("id", "n", F.coalesce("a", "cluster").alias("cluster")), "nodes")
+
+
 def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, links) for each row of docs: links tells whether it links with another row."""
     docs = docs.select(F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).cast("long").alias("id"), "text")
@@ -277,7 +292,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     nodes = relabelled(nodes, repeated.join(top, "a").select(F.col("top").alias("a"), "b"))
     for r in range(ROUNDS):
         leaders = nodes.where("id = cluster").join(first.select("id", F.get("marks", F.lit(r)).alias("mark")), "id").select("id", "mark").distinct()
-        nodes = relabelled(nodes, partition_links(docs, leaders, width, percent))
+        nodes = led(nodes, partition_links(docs, leaders, width, percent))
     nodes = relabelled(nodes, opening_links(docs, nodes, first.select("id", "prefix"), width, percent))
     whole = sets.join(nodes.select(F.col("id").alias("node"), "cluster"), "node")
     size = whole.groupBy("cluster").agg(F.sum("copies").alias("size"))
