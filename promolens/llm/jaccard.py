@@ -6,12 +6,12 @@ the join returns each document's component. Every pair that links is covered, wi
 1. Sketches. Documents with equal sets become one node, the smallest id. Shingles are ordered by how frequent they are (an estimate
    from all documents; any order is right), then by hash; two sets that link share s(n) shingles, n being the smaller
    size, among the first n - ceil(bound * n) + s(n) of each, the prefix; s(n) = 1 + ceil(bound * n) / STRIDE, rounded down.
-2. Groups. Nodes are partitioned by min-hash, large parts in chunks, and within a chunk those linked to a leader join it.
-   Rounds with other hashes join leaders with leaders. All of these links are verified on whole sets, so a family of near
-   copies, however large, becomes one or a few clusters; a cluster's nodes in chunks are the groups.
+2. Groups. Nodes are partitioned by several min-hashes, large parts in chunks, and each chunk gives a spanning forest of its
+   links, verified on whole sets; their components are clusters. So a family of near copies, however large, becomes one or
+   a few clusters. Groups are a cluster's nodes, or nodes with equal min-hashes that link with nothing, in chunks.
 3. Matrix. Each group stores the union of its prefixes; the matrix has a row for a token and a group. Groups of
-   different clusters that share enough tokens are candidates; the others can't overlap as a link needs.
-4. Opening. The smaller cluster's nodes query the group: if a query's overlap with the union of the group's whole sets is below
+   other clusters that share enough tokens are candidates; the others can't overlap as a link needs.
+4. Opening. The nodes of the smaller cluster's group query the group: if a query's overlap with the union of the group's whole sets is below
    what a link needs, the group stays closed; else the query is compared with each of its members. A link joins the two clusters.
 
 No step gathers a token's, a family's or a component's documents in one task: chunks are bounded, the rest are sums.
@@ -141,9 +141,8 @@ def sketches(docs: DataFrame, width: int, percent: int, common) -> DataFrame:
                     if len(known) and len(s):
                         at_ = np.minimum(np.searchsorted(known, s), len(known) - 1)
                         rank = np.where(known[at_] == s, order[at_], -1)
-                    rare = s[rank < 0] if (rank < 0).any() else s
                     first = len(s) - need(len(s), percent) + shared(len(s), percent) if len(s) else 0
-                    marks = [int(mixed(rare, r).min()) - (1 << 63) for r in range(1, ROUNDS + 1)] if len(s) else None
+                    marks = [int(mixed(s, r).min()) - (1 << 63) for r in range(1, ROUNDS + 1)] if len(s) else None
                     for column, value in zip(rows, (len(s), int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), marks, s[np.lexsort((s, rank))[:first]].view(np.int64)), strict=True):
                         column.append(value)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
@@ -177,57 +176,72 @@ def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("id", "text").join(wanted, "id")
 
 
-def partition_links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) found among nodes (id, mark) that share a mark: chunks of a mark's nodes, each with the mark's first node as well."""
-    marks = nodes.groupBy("mark").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("top")).where("size > 1")
-    placed = nodes.join(marks, "mark").withColumn("chunks", F.ceil(F.col("size") / GROUP).cast("int"))
-    own = placed.where("id <> top").select("id", "mark", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
-    top = placed.where("id = top").select("id", "mark", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+def partition_links(docs: DataFrame, first: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) among nodes (id, marks) that share a mark: chunks of a mark's nodes, each with the mark's first node as well.
+
+    A chunk gives the edges of a spanning forest of its links, so never more edges than nodes."""
+    marked = first.select("id", F.posexplode("marks").alias("round", "mark"))
+    marks = marked.groupBy("round", "mark").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("top")).where("size > 1")
+    placed = marked.join(marks, ["round", "mark"]).withColumn("chunks", F.ceil(F.col("size") / GROUP).cast("int"))
+    own = placed.where("id <> top").select("id", "round", "mark", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
+    top = placed.where("id = top").select("id", "round", "mark", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     rows = with_texts(docs, written(own.unionByName(top), "chunks"))
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="stable")
         ids, sets = pdf["id"].to_numpy(), [shingles(t, width) for t in pdf["text"]]
         tokens, owners, sizes = overlaps(sets)
-        free, out = np.ones(len(ids), bool), []
-        for k in range(len(ids)):
-            if free[k] and sizes[k]:
+        free, out = sizes > 0, []
+        for seed in range(len(ids)):
+            reached = [seed] if free[seed] else []
+            free[seed] = False
+            while reached and free.any():
+                k = reached.pop()
                 both = counted(sets[k], tokens, owners, len(ids))
-                new = free & (both > 0) & linked(sizes[k], sizes, both, percent)
-                new[k] = False
+                new = np.flatnonzero(free & (both > 0) & linked(sizes[k], sizes, both, percent))
                 out += [(ids[k], x) for x in ids[new]]
-                free &= ~new
-                free[k] = False
+                free[new] = False
+                reached += new.tolist()
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("mark", "chunk").applyInPandas(work, "a long, b long").where("a <> b")
+    return rows.groupBy("round", "mark", "chunk").applyInPandas(work, "a long, b long").where("a <> b")
+
+
+def grouped(nodes: DataFrame, first: DataFrame) -> DataFrame:
+    """(id, size, key, chunk): a node's group. A cluster's nodes, in chunks; those alone, by their first two marks, in the first mark's
+    chunks of partition_links, which has found all links within them. size is the cluster's, 0 for the others."""
+    clusters = nodes.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    large = first.groupBy(F.get("marks", F.lit(0)).alias("mark")).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > GROUP)
+    of = nodes.join(clusters, "cluster", "left").join(large, "mark", "left")
+    of = of.select("id", F.coalesce("size", F.lit(0)).alias("size"), F.when(F.col("size").isNull(), F.col("family")).otherwise(F.col("cluster")).alias("key"), F.coalesce("size", "held", F.lit(1)).alias("held"))
+    return written(of.select("id", "size", "key", F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / GROUP)).cast("int").alias("chunk")), "groups")
 
 
-def opening_links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between nodes (id, n, cluster) of different clusters, by the token-group matrix."""
-    sized = nodes.join(nodes.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")), "cluster")
-    groups = written(sized.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / GROUP)).cast("int")), "groups")
-    tokens = groups.join(prefixes, "id").select("cluster", "chunk", "size", "n", F.explode("prefix").alias("token"))
-    matrix = tokens.groupBy("token", "cluster", "chunk").agg(F.first("size").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
+def opening_links(docs: DataFrame, nodes: DataFrame, first: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between nodes (id, cluster, mark, family) of different groups and clusters, by the token-group matrix."""
+    groups = grouped(nodes, first)
+    tokens = groups.join(first.select("id", "n", "prefix"), "id").select("size", "key", "chunk", "n", F.explode("prefix").alias("token"))
+    matrix = tokens.groupBy("token", "size", "key", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     # identical on both sides of the join, so that the matrix is dealt once
     q, g = matrix.alias("q"), matrix.alias("g")
     c = F.col
-    smaller = (c("q.size") < c("g.size")) | ((c("q.size") == c("g.size")) & (c("q.cluster") < c("g.cluster")))
+    later = (c("q.key") < c("g.key")) | ((c("q.size") == 0) & (c("q.key") == c("g.key")) & (c("q.chunk") < c("g.chunk")))
+    smaller = (c("q.size") < c("g.size")) | ((c("q.size") == c("g.size")) & later)
     fits = (100 * c("q.most") >= percent * c("g.least")) & (100 * c("g.most") >= percent * c("q.least"))
     pairs = q.join(g, (c("q.token") == c("g.token")) & smaller & fits)
-    pairs = pairs.groupBy(c("q.cluster").alias("qc"), c("q.chunk").alias("qk"), c("g.cluster").alias("cluster"), c("g.chunk").alias("chunk")).agg(F.count(F.lit(1)).alias("shared"), F.least(F.min("q.least"), F.min("g.least")).alias("least"))
-    pairs = pairs.where(F.col("shared") >= F.floor(F.floor((percent * F.col("least") + 99) / 100) / STRIDE) + 1).drop("shared", "least")
-    pairs = written(pairs, "pairs")
-    salts = pairs.groupBy("cluster", "chunk").agg(F.ceil(F.count(F.lit(1)) / OPENERS).cast("int").alias("salts"))
-    member = groups.select("id", "cluster", "chunk")
-    asks = pairs.join(salts, ["cluster", "chunk"]).withColumn("salt", F.pmod(F.xxhash64("qc", "qk"), F.col("salts")).cast("int"))
-    asks = asks.join(member.select("id", F.col("cluster").alias("qc"), F.col("chunk").alias("qk")), ["qc", "qk"]).select("id", "cluster", "chunk", "salt", F.lit(True).alias("asks"))
-    held = member.join(salts, ["cluster", "chunk"]).select("id", "cluster", "chunk", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"))
-    rows = with_texts(docs, written(asks.unionByName(held), "opened"))
+    asking, asked = ["qsize", "qkey", "qchunk"], ["size", "key", "chunk"]
+    pairs = pairs.groupBy(*[c(f"q.{x}").alias(f"q{x}") for x in asked], *[c(f"g.{x}").alias(x) for x in asked]).agg(F.count(F.lit(1)).alias("shared"), F.least(F.min("q.least"), F.min("g.least")).alias("least"))
+    pairs = pairs.where(F.col("shared") >= F.floor(F.floor((percent * F.col("least") + 99) / 100) / STRIDE) + 1).select(*asking, *asked)
+    asks = written(pairs.join(groups.select("id", *[F.col(x).alias(f"q{x}") for x in asked]), asking).select("id", *asked), "asks")
+    salts = asks.groupBy(*asked).agg(F.ceil(F.count(F.lit(1)) / OPENERS).cast("int").alias("salts"))
+    dealt = asks.join(salts, asked).select("id", *asked, F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("asks"))
+    held = groups.join(salts, asked).select("id", *asked, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"))
+    rows = with_texts(docs, written(dealt.unionByName(held), "opened"))
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         group, ask = pdf[~pdf["asks"]], pdf[pdf["asks"]]
         ids, sets = group["id"].to_numpy(), [shingles(t, width) for t in group["text"]]
+        some = 1 if (group["size"] > 0).any() else len(ids)  # one link joins a query to a whole cluster
         tokens, owners, sizes = overlaps(sets)
         union, out = np.unique(tokens), []
         for i, text in zip(ask["id"], ask["text"], strict=True):
@@ -235,10 +249,10 @@ def opening_links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame, width:
             if not len(s) or len(np.intersect1d(s, union, assume_unique=True)) < need(len(s), percent):
                 continue  # the group stays closed
             both = counted(s, tokens, owners, len(ids))
-            out += [(i, x) for x in ids[(both > 0) & linked(len(s), sizes, both, percent)][:1]]  # one joins the clusters
+            out += [(i, x) for x in ids[(both > 0) & linked(len(s), sizes, both, percent)][:some]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("cluster", "chunk", "salt").applyInPandas(work, "a long, b long")
+    return rows.groupBy("size", "key", "chunk", "salt").applyInPandas(work, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -266,13 +280,7 @@ def relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
         return nodes
     between = links.join(lead("a"), "a").join(lead("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b")
     labels = components(between).withColumnRenamed("id", "cluster")
-    return written(nodes.join(labels, "cluster", "left").select("id", "n", F.coalesce("label", "cluster").alias("cluster")), "nodes")
-
-
-def led(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """nodes whose clusters' leaders b have joined smaller leaders a: a chunk's leaders have joined nobody, so no chains arise."""
-    up = links.groupBy(F.col("b").alias("cluster")).agg(F.min("a").alias("a"))
-    return written(nodes.join(up, "cluster", "left").select("id", "n", F.coalesce("a", "cluster").alias("cluster")), "nodes")
+    return written(nodes.join(labels, "cluster", "left").select("id", "mark", "family", F.coalesce("label", "cluster").alias("cluster")), "nodes")
 
 
 def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -284,16 +292,14 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     full = sketch.where("n > 0").select("id", "n", "k1", "k2", "marks", "prefix")
     first = full.join(sets.select("n", "k1", "k2", F.col("node").alias("id")), ["n", "k1", "k2", "id"]).dropDuplicates(["n", "k1", "k2"])
     first = written(first.select("id", "n", "marks", "prefix"), "first")
-    nodes = written(first.groupBy("id").agg(F.max("n").alias("n")).select("id", "n", F.col("id").alias("cluster")), "nodes")
+    nodes = written(first.groupBy("id").agg(F.min("marks").alias("marks")).select("id", F.get("marks", F.lit(0)).alias("mark"), F.xxhash64(F.get("marks", F.lit(0)), F.get("marks", F.lit(1))).alias("family"), F.col("id").alias("cluster")), "nodes")
     # rows of one id with different texts: the id joins their nodes
     repeated = sketch.where("n > 0").groupBy("id").agg(F.count_distinct("n", "k1", "k2").alias("sets")).where("sets > 1").select("id")
     repeated = full.select("id", "n", "k1", "k2").join(repeated, "id").join(sets, ["n", "k1", "k2"]).select(F.col("id").alias("a"), F.col("node").alias("b"))
     top = repeated.groupBy("a").agg(F.min("b").alias("top"))
-    nodes = relabelled(nodes, repeated.join(top, "a").select(F.col("top").alias("a"), "b"))
-    for r in range(ROUNDS):
-        leaders = nodes.where("id = cluster").join(first.select("id", F.get("marks", F.lit(r)).alias("mark")), "id").select("id", "mark").distinct()
-        nodes = led(nodes, partition_links(docs, leaders, width, percent))
-    nodes = relabelled(nodes, opening_links(docs, nodes, first.select("id", "prefix"), width, percent))
+    repeated = repeated.join(top, "a").select(F.col("top").alias("a"), "b")
+    nodes = relabelled(nodes, partition_links(docs, first, width, percent).unionByName(repeated))
+    nodes = relabelled(nodes, opening_links(docs, nodes, first, width, percent))
     whole = sets.join(nodes.select(F.col("id").alias("node"), "cluster"), "node")
     size = whole.groupBy("cluster").agg(F.sum("copies").alias("size"))
     whole = whole.join(size, "cluster").select("n", "k1", "k2", "cluster", "size")
