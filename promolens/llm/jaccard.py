@@ -37,7 +37,9 @@ from promolens.llm.common import LOWER, UPPER, table, written
 
 NULL_ID = -(1 << 63)
 #: Rounds of grouping; nodes in a group; queries that open a group in one task.
-ROUNDS, GROUP, OPENERS = 3, 256, 1024
+ROUNDS, GROUP, OPENERS = 2, 256, 1024
+#: The bits of a group's key that tell how large its cluster is.
+LEVELS = 63
 #: A set's prefix is longer by one shingle for so many that a link needs; linked sets share as many more.
 STRIDE = 40
 #: Shingles that are ordered last for being frequent, at most (1 MB); they only shape the order.
@@ -208,40 +210,46 @@ def partition_links(docs: DataFrame, first: DataFrame, width: int, percent: int)
 
 
 def grouped(nodes: DataFrame, first: DataFrame) -> DataFrame:
-    """(id, size, key, chunk): a node's group. A cluster's nodes, in chunks; those alone, by their first two marks, in the first mark's
-    chunks of partition_links, which has found all links within them. size is the cluster's, 0 for the others."""
+    """(id, n, k1, k2, key, chunk): a node's set and group. A cluster's nodes, in chunks; those alone, by their first two marks, in
+    the first mark's chunks of partition_links, which has found all links within them. The key's low bits tell how large the
+    cluster is, as a power of two; 0 for nodes alone."""
     clusters = nodes.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     large = first.groupBy(F.get("marks", F.lit(0)).alias("mark")).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > GROUP)
     of = nodes.join(clusters, "cluster", "left").join(large, "mark", "left")
-    of = of.select("id", F.coalesce("size", F.lit(0)).alias("size"), F.when(F.col("size").isNull(), F.col("family")).otherwise(F.col("cluster")).alias("key"), F.coalesce("size", "held", F.lit(1)).alias("held"))
-    return written(of.select("id", "size", "key", F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / GROUP)).cast("int").alias("chunk")), "groups")
+    key = F.when(F.col("size").isNull(), F.col("family")).otherwise(F.xxhash64("cluster"))
+    key = key.bitwiseAND(F.lit(~LEVELS)).bitwiseOR(F.coalesce(F.ceil(F.log2("size")), F.lit(0)).cast("long"))
+    of = of.select("id", key.alias("key"), F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("size", "held", F.lit(1)) / GROUP)).cast("int").alias("chunk"))
+    return written(of.join(first.select("id", "n", "k1", "k2"), "id"), "groups")
 
 
-def opening_links(docs: DataFrame, nodes: DataFrame, first: DataFrame, width: int, percent: int) -> DataFrame:
+def opening_links(docs: DataFrame, nodes: DataFrame, first: DataFrame, sketch: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between nodes (id, cluster, mark, family) of different groups and clusters, by the token-group matrix."""
     groups = grouped(nodes, first)
-    tokens = groups.join(first.select("id", "n", "prefix"), "id").select("size", "key", "chunk", "n", F.explode("prefix").alias("token"))
-    matrix = tokens.groupBy("token", "size", "key", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    # identical on both sides of the join, so that the matrix is dealt once
+    of = F.broadcast(groups) if groups.count() <= IDS else groups  # its size has just been checked
+    tokens = sketch.select("id", "n", "k1", "k2", "prefix").join(of, ["id", "n", "k1", "k2"]).select(F.explode("prefix").alias("token"), "key", "chunk", F.col("n").cast("int").alias("n"))
+    # dealt once by token: the sums and both sides of the join, which are identical, need no other exchange
+    matrix = tokens.repartition("token").groupBy("token", "key", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     q, g = matrix.alias("q"), matrix.alias("g")
     c = F.col
-    later = (c("q.key") < c("g.key")) | ((c("q.size") == 0) & (c("q.key") == c("g.key")) & (c("q.chunk") < c("g.chunk")))
-    smaller = (c("q.size") < c("g.size")) | ((c("q.size") == c("g.size")) & later)
-    fits = (100 * c("q.most") >= percent * c("g.least")) & (100 * c("g.most") >= percent * c("q.least"))
+    level = lambda side: c(f"{side}.key").bitwiseAND(F.lit(LEVELS))
+    later = (c("q.key") < c("g.key")) | ((level("q") == 0) & (c("q.key") == c("g.key")) & (c("q.chunk") < c("g.chunk")))
+    smaller = (level("q") < level("g")) | ((level("q") == level("g")) & later)
+    fits = (F.lit(100).cast("long") * c("q.most") >= percent * c("g.least").cast("long")) & (F.lit(100).cast("long") * c("g.most") >= percent * c("q.least").cast("long"))
     pairs = q.join(g, (c("q.token") == c("g.token")) & smaller & fits)
-    asking, asked = ["qsize", "qkey", "qchunk"], ["size", "key", "chunk"]
-    pairs = pairs.groupBy(*[c(f"q.{x}").alias(f"q{x}") for x in asked], *[c(f"g.{x}").alias(x) for x in asked]).agg(F.count(F.lit(1)).alias("shared"), F.least(F.min("q.least"), F.min("g.least")).alias("least"))
+    asking, asked = ["qkey", "qchunk"], ["key", "chunk"]
+    pairs = pairs.groupBy(*[c(f"q.{x}").alias(f"q{x}") for x in asked], *[c(f"g.{x}").alias(x) for x in asked]).agg(F.count(F.lit(1)).alias("shared"), F.least(F.min("q.least"), F.min("g.least")).cast("long").alias("least"))
     pairs = pairs.where(F.col("shared") >= F.floor(F.floor((percent * F.col("least") + 99) / 100) / STRIDE) + 1).select(*asking, *asked)
-    asks = written(pairs.join(groups.select("id", *[F.col(x).alias(f"q{x}") for x in asked]), asking).select("id", *asked), "asks")
+    member = groups.select("id", *asked)
+    asks = written(pairs.join(member.select("id", *[F.col(x).alias(f"q{x}") for x in asked]), asking).select("id", *asked), "asks")
     salts = asks.groupBy(*asked).agg(F.ceil(F.count(F.lit(1)) / OPENERS).cast("int").alias("salts"))
     dealt = asks.join(salts, asked).select("id", *asked, F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("asks"))
-    held = groups.join(salts, asked).select("id", *asked, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"))
+    held = member.join(salts, asked).select("id", *asked, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"))
     rows = with_texts(docs, written(dealt.unionByName(held), "opened"))
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         group, ask = pdf[~pdf["asks"]], pdf[pdf["asks"]]
         ids, sets = group["id"].to_numpy(), [shingles(t, width) for t in group["text"]]
-        some = 1 if (group["size"] > 0).any() else len(ids)  # one link joins a query to a whole cluster
+        some = 1 if (group["key"] & LEVELS).any() else len(ids)  # one link joins a query to a whole cluster
         tokens, owners, sizes = overlaps(sets)
         union, out = np.unique(tokens), []
         for i, text in zip(ask["id"], ask["text"], strict=True):
@@ -252,7 +260,7 @@ def opening_links(docs: DataFrame, nodes: DataFrame, first: DataFrame, width: in
             out += [(i, x) for x in ids[(both > 0) & linked(len(s), sizes, both, percent)][:some]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("size", "key", "chunk", "salt").applyInPandas(work, "a long, b long")
+    return rows.groupBy("key", "chunk", "salt").applyInPandas(work, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -289,9 +297,9 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     common = docs.sparkSession.sparkContext.broadcast(frequent(docs, width))
     sketch = written(sketches(docs, width, percent, common), "sketch")
     sets = written(sketch.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "sets")
-    full = sketch.where("n > 0").select("id", "n", "k1", "k2", "marks", "prefix")
+    full = sketch.where("n > 0").select("id", "n", "k1", "k2", "marks")
     first = full.join(sets.select("n", "k1", "k2", F.col("node").alias("id")), ["n", "k1", "k2", "id"]).dropDuplicates(["n", "k1", "k2"])
-    first = written(first.select("id", "n", "marks", "prefix"), "first")
+    first = written(first.select("id", "n", "k1", "k2", "marks"), "first")
     nodes = written(first.groupBy("id").agg(F.min("marks").alias("marks")).select("id", F.get("marks", F.lit(0)).alias("mark"), F.xxhash64(F.get("marks", F.lit(0)), F.get("marks", F.lit(1))).alias("family"), F.col("id").alias("cluster")), "nodes")
     # rows of one id with different texts: the id joins their nodes
     repeated = sketch.where("n > 0").groupBy("id").agg(F.count_distinct("n", "k1", "k2").alias("sets")).where("sets > 1").select("id")
@@ -299,7 +307,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     top = repeated.groupBy("a").agg(F.min("b").alias("top"))
     repeated = repeated.join(top, "a").select(F.col("top").alias("a"), "b")
     nodes = relabelled(nodes, partition_links(docs, first, width, percent).unionByName(repeated))
-    nodes = relabelled(nodes, opening_links(docs, nodes, first, width, percent))
+    nodes = relabelled(nodes, opening_links(docs, nodes, first, sketch, width, percent))
     whole = sets.join(nodes.select(F.col("id").alias("node"), "cluster"), "node")
     size = whole.groupBy("cluster").agg(F.sum("copies").alias("size"))
     whole = whole.join(size, "cluster").select("n", "k1", "k2", "cluster", "size")
