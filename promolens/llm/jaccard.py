@@ -24,6 +24,7 @@ n_shingles. Shingles are compared by 64-bit hash. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,21 +50,14 @@ IDS = 400_000
 #: Hashed shingles that a task counts at a time.
 COUNTED = 1 << 22
 
+#: Bytes of text that are hashed at a time; the base of the hash, any odd number.
+BLOCK, BASE = 1 << 20, 0xD1342543DE82EF95
+
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-
-
-class Words(dict):
-    """64-bit hashes of words; remembers a bounded number of them."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_words = Words()
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_INSIDE = np.array([not _SPACE.match(bytes([x])) for x in range(256)])
+_BYTES = np.array([xxhash.xxh3_64_intdigest(bytes([x])) for x in range(256)], np.uint64)
 
 
 def mixed(h: np.ndarray, seed: int) -> np.ndarray:
@@ -74,17 +68,54 @@ def mixed(h: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class Powers:
+    """Powers of BASE and of its inverse modulo 2^64, as many as were asked for so far."""
+
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            some = np.full(max(n, 1 << 16), BASE, np.uint64), np.full(max(n, 1 << 16), pow(BASE, -1, 1 << 64), np.uint64)
+            for x in some:
+                x[0] = 1
+                np.multiply.accumulate(x, out=x)
+            cls.up, cls.down = some
+        return cls.up[:n], cls.down
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, in order: sums of random numbers for its bytes, times powers for their places.
+
+    Taken from running sums over a block of text, which ends at white space, so that memory is bounded but for longer words."""
+    out, at = [], 0
+    with np.errstate(over="ignore"):
+        while at < len(text):
+            end = at + BLOCK
+            if end < len(text):
+                end = found.start() if (found := _SPACE.search(text, end)) else len(text)
+            block = np.frombuffer(text, np.uint8, min(end, len(text)) - at, at)
+            inside = np.concatenate(([False], _INSIDE[block], [False]))
+            edges = np.flatnonzero(inside[1:] != inside[:-1])
+            start, stop = edges[::2], edges[1::2]
+            up, down = Powers.of(len(block))
+            sums = np.zeros(len(block) + 1, np.uint64)
+            np.cumsum(_BYTES[block] * up, out=sums[1:])
+            out.append(mixed((sums[stop] - sums[start]) * down[start], 0))
+            at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
 def shingles(text: str | None, width: int) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
-    w = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()  # splits at the six ASCII white-space characters
-    if not w:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, w), np.uint64, len(w))
-    n, out = max(1, len(w) - width + 1), np.zeros(1, np.uint64)
+    """The sorted distinct shingle hashes of a text; its words lie between the six ASCII white-space characters."""
+    h = word_hashes((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+    if not len(h):
+        return h
+    n, out = max(1, len(h) - width + 1), np.zeros(1, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(min(width, len(w))):
-            out = mixed(out * _MIX[1] + h[k : k + n] + np.uint64(k), 0)
-    return np.unique(out)
+        for k in range(min(width, len(h))):
+            out = out * _MIX[1] + h[k : k + n]
+    return np.unique(mixed(out + np.uint64(min(width, len(h))), 0))
 
 
 def need(n, percent: int):
