@@ -20,6 +20,7 @@ import heapq
 import itertools
 import json
 import mmap
+import re
 import struct
 import tempfile
 from bisect import bisect_left
@@ -54,6 +55,8 @@ def _alphabet() -> dict[str, int]:
 
 #: Fixed value: how byte-level BPE splits a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts of ASCII alone, which Python's own matcher splits in half the time.
+PLAIN = r"'(?:[smtd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 
 
 class Merger:
@@ -201,7 +204,7 @@ class Coder(dict):
     def __init__(self, vocabulary: bytes, lexicon: bytes | None):
         self.merger, self.lexicon = Merger(vocabulary), Lexicon(lexicon) if lexicon else None
         self.frequent: dict[str, bytes] = {}  # what the lexicon held; as bounded as it is
-        self.split = regex.compile(PATTERN).findall
+        self.any, self.plain = regex.compile(PATTERN).findall, re.compile(PLAIN).findall
         special = self.merger.special
         self.specials = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
 
@@ -218,6 +221,9 @@ class Coder(dict):
         self[word] = ids
         return ids
 
+    def split(self, part: str) -> list[str]:
+        return self.plain(part) if part.isascii() else self.any(part)
+
     def pieces(self, text: str) -> Iterator[tuple[bool, str]]:
         parts = self.specials.split(text) if self.specials else [text]
         return ((bool(k % 2), p) for k, p in enumerate(parts) if p)

@@ -213,3 +213,24 @@ def test_mixer(spark, docs, rows):
     assert np.allclose(model.costs(texts), one, rtol=1e-5) and all(c < 0 for c in one)
     got = mixer.scored(docs, model)
     assert got.columns == [*docs.columns, "score"] and got.where("score < 0").count() == len(rows)
+
+
+def test_ascii_split_equals_the_general_one():
+    import itertools
+
+    import regex
+
+    both = regex.compile(bpe.PATTERN).findall, re.compile(bpe.PLAIN).findall
+    pairs = itertools.product(map(chr, range(128)), repeat=2)
+    for text in itertools.chain(map("".join, pairs), map("".join, itertools.product("'sl A1!\t\n\r\x1c", repeat=4))):
+        assert both[0](text) == both[1](text), repr(text)
+
+
+def test_shingles_by_brute_force(monkeypatch):
+    texts = [None, "", " \n", "A", "a b", "a b c d a b c d e", prose(500), "x" * 300 + " é\x85y  z\x0b" + prose(40)]
+    whole = [jaccard.shingles(t, 3) for t in texts]
+    for text, got in zip(texts, whole, strict=True):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+        assert len(got) == len({tuple(words[k : k + 3]) for k in range(max(1, len(words) - 2))} if words else ())
+    monkeypatch.setattr(jaccard, "BLOCK", 16)  # blocks end between words, so they change nothing
+    assert all(np.array_equal(jaccard.shingles(t, 3), s) for t, s in zip(texts, whole, strict=True))
