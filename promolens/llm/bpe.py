@@ -234,12 +234,12 @@ class Coder(dict):
             if fixed:
                 out.append(struct.pack("<I", special[part]))
             else:
-                out += [self[w] for w in self.split(part)]
+                out += map(self.__getitem__, self.split(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
         known = self.merger.bytes
-        return b"".join([known[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        return b"".join(map(known.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 _coders: dict[str, Coder] = {}
