@@ -6,8 +6,9 @@ that a walk sums up to the word's ordinal, and the ordinal gives the word's slic
 ids. It is laid out in flat arrays and memory-mapped by each Python worker. Words that it lacks are merged exactly,
 pair by pair in order of rank, with a heap for long words.
 
-Words are counted over all documents; the lexicon keeps the LEXICON most frequent ones of at most LONGEST bytes, so
-the broadcast has a fixed bound. Whatever the lexicon holds, the ids are the same.
+Words are counted over all documents; the lexicon keeps the most frequent ones of at most LONGEST bytes: those whose
+count reaches the least level (eighths of a power of two) that no more than LEXICON words reach, so the broadcast has a
+fixed bound and nothing is sorted. Whatever the lexicon holds, the ids are the same.
 
 Defined results: a null or empty text has no ids; special tokens' strings in a text become their ids, as the library does;
 ids are decoded with bytes that are not UTF-8 replaced. Repeated rows, null ids and extra columns pass through.
@@ -15,6 +16,7 @@ ids are decoded with bytes that are not UTF-8 replaced. Repeated rows, null ids
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import itertools
@@ -33,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm.common import table
+from promolens.llm.common import table, written
 
 #: Words of the lexicon and bytes of each, at most.
 LEXICON, LONGEST = 1 << 16, 64
@@ -55,8 +57,23 @@ def _alphabet() -> dict[str, int]:
 
 #: Fixed value: how byte-level BPE splits a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same for texts of ASCII alone, which Python's own matcher splits in half the time.
-PLAIN = r"'(?:[smtd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+
+
+def _ranges(kind: str) -> str:
+    """The characters below U+10000 that match kind, as the inside of a set for Python's own matcher."""
+    below = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    return "".join(re.escape(m[0][0]) + "-" + re.escape(m[0][-1]) for m in regex.finditer(f"(?:{kind})+", below))
+
+
+@functools.cache
+def plain_pattern() -> re.Pattern:
+    """The same as PATTERN for texts without characters from U+10000 on: Python's own matcher takes less than half the time."""
+    letters, digits, space = _ranges(r"\p{L}"), _ranges(r"\p{N}"), _ranges(r"\s")
+    return re.compile(f"'(?:[smtd]|re|ve|ll)| ?[{letters}]+| ?[{digits}]+| ?[^{space}{letters}{digits}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
+def is_plain(text: str) -> bool:
+    return text.isascii() or len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
 
 
 class Merger:
@@ -204,7 +221,7 @@ class Coder(dict):
     def __init__(self, vocabulary: bytes, lexicon: bytes | None):
         self.merger, self.lexicon = Merger(vocabulary), Lexicon(lexicon) if lexicon else None
         self.frequent: dict[str, bytes] = {}  # what the lexicon held; as bounded as it is
-        self.any, self.plain = regex.compile(PATTERN).findall, re.compile(PLAIN).findall
+        self.any, self.plain = regex.compile(PATTERN).findall, plain_pattern().findall
         special = self.merger.special
         self.specials = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
 
@@ -222,7 +239,7 @@ class Coder(dict):
         return ids
 
     def split(self, part: str) -> list[str]:
-        return self.plain(part) if part.isascii() else self.any(part)
+        return self.plain(part) if is_plain(part) else self.any(part)
 
     def pieces(self, text: str) -> Iterator[tuple[bool, str]]:
         parts = self.specials.split(text) if self.specials else [text]
@@ -289,9 +306,17 @@ def word_counts(docs: DataFrame, vocabulary) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, vocabulary, size: int = LEXICON) -> bytes:
-    frequent = word_counts(docs, vocabulary).where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(size)
+    """The counts are written once; the driver gets a number of words for each level, then at most size words."""
+    level = F.floor(F.log2("n") * 8).cast("int")
+    counts = written(word_counts(docs, vocabulary).where(F.octet_length("word") <= LONGEST).select("word", level.alias("level")), "words")
+    least, held = 0, 0
+    for r in counts.groupBy("level").count().orderBy(F.desc("level")).collect():  # no more than 8 * 63 rows
+        held += r["count"]
+        if held > size:
+            least = r["level"] + 1
+            break
     merge = Merger(vocabulary.value[1]).merge
-    return compile_lexicon({w: merge(w) for (w,) in ((r.word.encode(),) for r in frequent.select("word").collect())})
+    return compile_lexicon({w: merge(w) for (w,) in ((r.word.encode(),) for r in counts.where(F.col("level") >= least).select("word").collect())})
 
 
 def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, ids: bool = False) -> DataFrame:

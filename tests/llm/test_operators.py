@@ -215,15 +215,20 @@ def test_mixer(spark, docs, rows):
     assert got.columns == [*docs.columns, "score"] and got.where("score < 0").count() == len(rows)
 
 
-def test_ascii_split_equals_the_general_one():
+def test_plain_split_equals_the_general_one():
     import itertools
 
     import regex
 
-    both = regex.compile(bpe.PATTERN).findall, re.compile(bpe.PLAIN).findall
+    both = regex.compile(bpe.PATTERN).findall, bpe.plain_pattern().findall
     pairs = itertools.product(map(chr, range(128)), repeat=2)
     for text in itertools.chain(map("".join, pairs), map("".join, itertools.product("'sl A1!\t\n\r\x1c", repeat=4))):
         assert both[0](text) == both[1](text), repr(text)
+    below = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    for between in ("", " ", "  ", "é", "'s", "\u3000\n"):
+        text = between.join(below)
+        assert bpe.is_plain(text) and both[0](text) == both[1](text)
+    assert not bpe.is_plain("a\U0001f600")
 
 
 def test_shingles_by_brute_force(monkeypatch):
