@@ -41,6 +41,8 @@ from promolens.llm.common import table, written
 LEXICON, LONGEST = 1 << 16, 64
 #: Distinct words that a worker remembers or counts at a time.
 REMEMBERED = 300_000
+#: Bytes of the words that are looked up together; characters of the texts that are.
+WIDTHS, TOGETHER = (8, 16, 32), 1 << 20
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -86,10 +88,16 @@ class Merger:
         self.single = [0] * 256
         for c, b in byte.items():
             self.single[b] = ids[c]
-        self.merges = {}
+        self.ranks: dict[tuple[int, int], int] = {}  # of a pair of ids
+        self.made: list[int] = []  # the id that the pair of each rank becomes
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[ids[a], ids[b]] = (rank, ids[a + b])
+            self.ranks[ids[a], ids[b]] = rank
+            self.made.append(ids[a + b])
+        self.reach = max(ids.values()) + 1
+        keys = np.fromiter((a * self.reach + b for a, b in self.ranks), np.int64, len(self.ranks))
+        by = np.argsort(keys)
+        self.pairs = np.append(keys[by], np.iinfo(np.int64).max), np.append(np.fromiter(self.ranks.values(), np.int32, len(keys))[by], len(self.made)).astype(np.int32)
         self.bytes = [b""] * (max([*ids.values(), *self.special.values()]) + 1)
         for token, i in ids.items():
             self.bytes[i] = bytes(byte[c] for c in token)
@@ -97,38 +105,74 @@ class Merger:
             self.bytes[i] = token.encode()
 
     def merge(self, word: bytes) -> list[int]:
-        ids = [self.single[b] for b in word]
-        if len(ids) > 48:
+        ids = [*map(self.single.__getitem__, word)]
+        if len(ids) > 96:
             return self._merge_long(ids)
-        get, none = self.merges.get, (1 << 60, 0)
-        while len(ids) > 1:
-            at, best = -1, none
-            for k, pair in enumerate(itertools.pairwise(ids)):
-                if (m := get(pair)) is not None and m < best:
-                    at, best = k, m
-            if at < 0:
-                break
-            ids[at : at + 2] = [best[1]]
+        get, none = self.ranks.get, len(self.made)
+        ranks = [*map(get, zip(ids, ids[1:]), itertools.repeat(none))]  # noqa: B905
+        while ranks and (rank := min(ranks)) < none:
+            at = ranks.index(rank)
+            ids[at : at + 2] = [self.made[rank]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((ids[at - 1], ids[at]), none)
+            if at < len(ranks):
+                ranks[at] = get((ids[at], ids[at + 1]), none)
         return ids
 
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair; the number of merges for pairs that are none, such as those with -1."""
+        key = left.astype(np.int64) * self.reach + right
+        at = np.searchsorted(self.pairs[0], key)
+        return np.where((self.pairs[0][at] == key) & (left >= 0) & (right >= 0), self.pairs[1][at], np.int32(len(self.made)))
+
+    def merge_all(self, letters: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        """merge() of many words at once, each a row of letters: every round replaces one pair of each word that still has one."""
+        n, width = letters.shape
+        out, row, column = [b""] * n, np.arange(n), np.arange(width)
+        ids = np.array(self.single, np.int32)[letters]
+        ids[column >= lengths[:, None]] = -1
+        ids = np.pad(ids, ((0, 0), (0, 1)), constant_values=-1)
+        none, made = len(self.made), np.array([*self.made, -1], np.int32)
+        ranks = self._ranked(ids[:, :-1], ids[:, 1:])
+        while len(row):
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(row)), at]
+            if len(done := np.flatnonzero(best == none)):
+                whole, step = np.ascontiguousarray(ids[done], "<i4").tobytes(), 4 * (width + 1)
+                for k, (r, size) in enumerate(zip(row[done].tolist(), (ids[done] >= 0).sum(1).tolist(), strict=True)):
+                    out[r] = whole[k * step : k * step + 4 * size]
+                on = best < none
+                row, ids, ranks, at, best = row[on], ids[on], ranks[on], at[on], best[on]
+            k, at = np.arange(len(row)), at[:, None]
+            moved = np.take_along_axis(ids, np.minimum(column + (column > at), width), 1)
+            ids[:, :-1], ids[:, -1] = moved, -1
+            at = at[:, 0]
+            ids[k, at] = made[best]
+            ranks = np.take_along_axis(np.pad(ranks, ((0, 0), (0, 1)), constant_values=none), column + (column >= at[:, None]), 1)
+            ranks[k, at] = self._ranked(ids[k, at], ids[k, at + 1])
+            back = k[at > 0]
+            ranks[back, at[back] - 1] = self._ranked(ids[back, at[back] - 1], ids[back, at[back]])
+        return out
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same in n log n: a heap of pairs over a linked list; stale entries are passed over."""
         n = len(ids)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(m[0], k, m[1], ids[k], ids[k + 1]) for k in range(n - 1) if (m := self.merges.get((ids[k], ids[k + 1])))]
+        heap = [(rank, k, ids[k], ids[k + 1]) for k in range(n - 1) if (rank := self.ranks.get((ids[k], ids[k + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, k, new, left, right = heapq.heappop(heap)
+            rank, k, left, right = heapq.heappop(heap)
             j = after[k]
             if j < 0 or ids[k] != left or ids[j] != right:
                 continue
-            ids[k], ids[j] = new, -1
+            ids[k], ids[j] = self.made[rank], -1
             after[k] = after[j]
             if after[k] >= 0:
                 before[after[k]] = k
             for a, b in ((before[k], k), (k, after[k])):
-                if a >= 0 and b >= 0 and (m := self.merges.get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (m[0], a, m[1], ids[a], ids[b]))
+                if a >= 0 and b >= 0 and (rank := self.ranks.get((ids[a], ids[b]))) is not None:
+                    heapq.heappush(heap, (rank, a, ids[a], ids[b]))
         return [i for i in ids if i >= 0]
 
 
@@ -201,6 +245,24 @@ class Lexicon:
             got.append(view[at:end].cast(kind))
             at = end
         self.first, self.accept, self.label, self.target, self.ahead, self.start, self.ids = got
+        size = np.diff(np.frombuffer(self.first, "<u4"))
+        self.moves = np.append(np.repeat(np.arange(len(size), dtype=np.int64), size) * 256 + np.frombuffer(self.label, "u1"), np.iinfo(np.int64).max)  # ascending
+
+    def find_all(self, letters: np.ndarray, lengths: np.ndarray) -> list[bytes | None]:
+        """find() of many words at once, each a row of letters."""
+        at, passed, alive = np.full(len(letters), self.root, np.int64), np.zeros(len(letters), np.int64), np.ones(len(letters), bool)
+        target, ahead = np.frombuffer(self.target, "<u4"), np.frombuffer(self.ahead, "<u4")
+        for k in range(letters.shape[1]):
+            on = np.flatnonzero(alive & (lengths > k))
+            key = at[on] * 256 + letters[on, k]
+            move = np.searchsorted(self.moves, key)
+            hit = self.moves[move] == key
+            alive[on[~hit]] = False
+            on, move = on[hit], move[hit]
+            at[on] = target[move]
+            passed[on] += ahead[move]
+        alive &= np.frombuffer(self.accept, "u1")[at] > 0
+        return [self.ids[self.start[p] : self.start[p + 1]].tobytes() if ok else None for ok, p in zip(alive.tolist(), passed.tolist(), strict=True)]
 
     def find(self, word: bytes) -> bytes | None:
         """The word's ids as little-endian 32-bit integers."""
@@ -226,9 +288,6 @@ class Coder(dict):
         self.specials = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self.update(self.frequent)
         raw = word.encode()
         ids = self.lexicon.find(raw) if self.lexicon else None
         if ids is not None:
@@ -245,14 +304,45 @@ class Coder(dict):
         parts = self.specials.split(text) if self.specials else [text]
         return ((bool(k % 2), p) for k, p in enumerate(parts) if p)
 
-    def encode(self, text: str) -> bytes:
-        special, out = self.merger.special, []
-        for fixed, part in self.pieces(text):
-            if fixed:
-                out.append(struct.pack("<I", special[part]))
-            else:
-                out += map(self.__getitem__, self.split(part))
-        return b"".join(out)
+    def learn(self, words: list[str]) -> None:
+        """Looks new words up, those of about a size at once; longer ones are left to __missing__."""
+        raw = [w.encode() for w in words]
+        least = 0
+        for width in WIDTHS:
+            some = [k for k, r in enumerate(raw) if least < len(r) <= width]
+            least = width
+            if not some:
+                continue
+            lengths = np.array([len(raw[k]) for k in some])
+            letters = np.frombuffer(b"".join(raw[k].ljust(width, b"\0") for k in some), np.uint8).reshape(-1, width)
+            found = self.lexicon.find_all(letters, lengths) if self.lexicon else [None] * len(some)
+            for k, ids in zip(some, found, strict=True):
+                if ids is not None:
+                    self[words[k]] = self.frequent[words[k]] = ids
+            rest = np.array([k for k, ids in enumerate(found) if ids is None], np.int64)
+            for k, ids in zip(rest.tolist(), self.merger.merge_all(letters[rest], lengths[rest]), strict=True):
+                self[words[some[k]]] = ids
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+            self.update(self.frequent)
+        special, get = self.merger.special, self.__getitem__
+        split = [[(fixed, part if fixed else self.split(part)) for fixed, part in self.pieces(t)] for t in texts]
+        seen = set(itertools.chain.from_iterable(part for parts in split for fixed, part in parts if not fixed))
+        self.learn([w for w in seen if w not in self])
+        return [b"".join(itertools.chain.from_iterable([struct.pack("<I", special[part])] if fixed else map(get, part) for fixed, part in parts)) for parts in split]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers; about TOGETHER characters are worked on at once, or one text."""
+        out, held, size = [], [], 0
+        for t in texts:
+            held.append(t)
+            size += len(t)
+            if size >= TOGETHER:
+                out += self._encode(held)
+                held, size = [], 0
+        return out + self._encode(held)
 
     def decode(self, ids: bytes) -> str:
         known = self.merger.bytes
@@ -331,7 +421,7 @@ def encoded(docs: DataFrame, path: str | None = None, size: int = LEXICON, ids:
     def work(batches):
         code = coder(vocabulary, lexicon)
         for b in _slices(batches):
-            made = [code.encode(t or "") for t in b.column(b.num_columns - 1).to_pylist()]
+            made = code.encode([t or "" for t in b.column(b.num_columns - 1).to_pylist()])
             columns = [*b.columns[:-1], pa.array([len(m) // 4 for m in made], pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in made]), pa.array([hashlib.sha256(code.decode(m).encode()).hexdigest() for m in made])]
             if ids:
                 columns.append(pa.array([np.frombuffer(m, "<i4") for m in made], pa.list_(pa.int32())))

@@ -71,7 +71,7 @@ def test_bpe(docs, rows, empty):
     assert bpe.encoded(empty).count() == 0
     coder = bpe.Coder(open(bpe.vocabulary_path(), "rb").read(), None)
     for t in ["a" * 3000, "<|endoftext|> x<|endoftext|>", "\u0085 \x1c  y", "日本語🙂", "don't  \n\n stop"]:
-        assert [i for (i,) in struct.iter_unpack("<I", coder.encode(t))] == tok.encode(t, add_special_tokens=False).ids
+        assert [i for (i,) in struct.iter_unpack("<I", coder.encode([t])[0])] == tok.encode(t, add_special_tokens=False).ids
 
 
 def test_transducer_shares_suffixes():
@@ -79,9 +79,22 @@ def test_transducer_shares_suffixes():
     lex = bpe.Lexicon(bpe.compile_lexicon(entries))
     assert {w: lex.find(w) for w in entries} == {w: struct.pack("<2I", *v) for w, v in entries.items()}
     assert lex.find(b"walk") is None and lex.find(b"") is None
+    asked = [*entries, b"walk", b"kin", b"q", b"walkings"]
+    letters = np.frombuffer(b"".join(w.ljust(8, b"\0") for w in asked), np.uint8).reshape(-1, 8)
+    assert lex.find_all(letters, np.array([*map(len, asked)])) == [lex.find(w) for w in asked]
     assert len(lex.accept) < sum(map(len, entries))
 
 
+def test_merging_together_equals_merging_each():
+    merger = bpe.Merger(open(bpe.vocabulary_path(), "rb").read())
+    words = [bytes(rng.choice(b"abcdeerstainn \xc3\xa9") for _ in range(rng.randint(1, 32))) for _ in range(3000)] + [b"a", b"aaaaaaaa", b"ab" * 16]
+    letters = np.frombuffer(b"".join(w.ljust(32, b"\0") for w in words), np.uint8).reshape(-1, 32)
+    want = [struct.pack(f"<{len(ids)}I", *ids) for ids in map(merger.merge, words)]
+    assert merger.merge_all(letters, np.array([*map(len, words)])) == want
+    assert [merger._merge_long([merger.single[b] for b in w]) for w in words] == [*map(merger.merge, words)]
+
+
+
 def test_lines(docs, rows, empty):
     got = lines.deduplicated(docs).collect()
     by = {}
