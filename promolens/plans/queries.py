@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from promolens.functions import extract, schedule, text, vocab
-from promolens.operators import compare, pages
+from promolens.operators import compare, matching, pages
 from promolens.plans import fixtures
 from promolens.sources.tables import table
 
@@ -166,3 +166,21 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, c = F.col("sentence"), F.col("category")
     return fixtures.sentences(spark).select("id", extract.motivator(c, s).alias("motivator"), extract.cuisine(F.lit("pub"), s, c).alias("cuisine"), extract.group_friendly(s, c).alias("group_friendly"), text.quality(s).alias("quality"), text.category_hint(s).alias("hint"), text.slug(c).alias("slug"), text.shorten(s, 20).alias("short"), text.is_menu_block(s).alias("menu"))
+
+
+_STOP = ["the", "and", "of", "to", "in", "la", "le", "les", "de", "et"]
+
+
+@query("best_chunks", rf"""
+WITH d AS (SELECT conv_id AS grp, turn AS chunk_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}_]+'), lambda w: length(w) >= 2 AND w NOT IN ({", ".join(f"'{w}'" for w in _STOP)})) AS t FROM conversations),
+tf AS (SELECT grp, chunk_id, term, count(*) AS tf FROM (SELECT grp, chunk_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda k: t[k] || ' ' || t[k + 1]))) AS term FROM d) GROUP BY ALL),
+w AS (SELECT grp, chunk_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN (SELECT grp, term, count(*) AS df FROM tf GROUP BY ALL) USING (grp, term) JOIN (SELECT grp, count(*) AS n FROM d GROUP BY ALL) USING (grp)),
+s AS (SELECT c.grp, c.chunk_id, round(sum(c.w * coalesce(g.w, 0)) / sqrt(sum(c.w * c.w) * any_value(o.n)), 12) AS sim FROM w c LEFT JOIN w g ON g.grp = c.grp AND g.term = c.term AND g.chunk_id = 0
+    JOIN (SELECT grp, sum(w * w) AS n FROM w WHERE chunk_id = 0 GROUP BY grp) o ON o.grp = c.grp WHERE c.chunk_id <> 0 GROUP BY ALL),
+r AS (SELECT d.grp, d.chunk_id, coalesce(sim, 0) AS sim, row_number() OVER (PARTITION BY d.grp ORDER BY coalesce(sim, 0) DESC, d.chunk_id) AS k, count(*) OVER (PARTITION BY d.grp) AS num_chunks FROM d LEFT JOIN s USING (grp, chunk_id) WHERE d.chunk_id <> 0)
+SELECT q.grp, r.chunk_id, round(coalesce(sim, 0), 4) AS similarity, coalesce(num_chunks, 0) AS num_chunks FROM (SELECT grp FROM d WHERE chunk_id = 0) q LEFT JOIN r ON r.grp = q.grp AND r.k = 1
+""")
+def best_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each conversation the later turn that is most like its first one."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("grp"), F.col("turn").alias("chunk_id"), "text")
+    return matching.best_chunk(turns.where("chunk_id = 0").select("grp", "text"), turns.where("chunk_id <> 0"), _STOP)
