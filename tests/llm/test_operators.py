@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -228,6 +229,22 @@ def test_mixer(spark, docs, rows):
     assert got.columns == [*docs.columns, "score"] and got.where("score < 0").count() == len(rows)
 
 
+def test_mixer_learns_from_all_training_documents(spark):
+    texts = {k: ("quartz " if k % 2 else "zebra ") * (4000 if k % 50 == 0 else 5) for k in range(700)}
+    part = lambda k: zlib.crc32(str(k).encode()) % 10
+    frame = lambda keep: spark.createDataFrame([(k, t) for k, t in texts.items() if keep(part(k))], "doc_id long, text string")
+    assert all(t.any() for t in mixer.learn(frame(lambda p: p == 9)).tables)
+    docs = frame(lambda p: True)
+    model = mixer.learn(docs)
+    sums = mixer.decided(docs.where(mixer.fold(F.col("doc_id"), 10) > 0), model).groupBy().sum().first()
+    bits = [model.inputs([t])[0] for k, t in texts.items() if part(k)]
+    assert (sums["sum(n)"], sums["sum(ones)"]) == (sum(map(len, bits)), sum(int(b.sum()) for b in bits))
+    # long texts alone set the weights and the map, too
+    one = mixer.learn(spark.createDataFrame([(k, "quartz zebra " * 3000) for k in range(20)], "doc_id long, text string"))
+    plain = mixer.Model(one.codes, one.tables)
+    assert not np.allclose(one.weights, plain.weights) and one.costs(["quartz zebra " * 50])[0] > plain.costs(["quartz zebra " * 50])[0]
+
+
 def test_plain_split_equals_the_general_one():
     import itertools
 
