@@ -236,7 +236,7 @@ def test_mixer_learns_from_all_training_documents(spark):
     assert all(t.any() for t in mixer.learn(frame(lambda p: p == 9)).tables)
     docs = frame(lambda p: True)
     model = mixer.learn(docs)
-    sums = mixer.decided(docs.where(mixer.fold(F.col("doc_id"), 10) > 0), model).groupBy().sum().first()
+    sums = mixer.decided(docs.where(mixer.fold(F.col("doc_id"), 10) > 0), spark.sparkContext.broadcast(model)).groupBy().sum().first()
     bits = [model.inputs([t])[0] for k, t in texts.items() if part(k)]
     assert (sums["sum(n)"], sums["sum(ones)"]) == (sum(map(len, bits)), sum(int(b.sum()) for b in bits))
     # long texts alone set the weights and the map, too
@@ -245,6 +245,27 @@ def test_mixer_learns_from_all_training_documents(spark):
     assert not np.allclose(one.weights, plain.weights) and one.costs(["quartz zebra " * 50])[0] > plain.costs(["quartz zebra " * 50])[0]
 
 
+def test_mixer_tables_grow_with_the_contexts(spark):
+    r = random.Random(1)
+    frame = lambda n: spark.createDataFrame([(k, " ".join("".join(r.choices("abcdefghijklmnop", k=8)) for _ in range(n))) for k in range(40)], "doc_id long, text string")
+    few, many = frame(20), frame(3000)
+    pairs, sizes = mixer.byte_pairs(many)
+    data, starts = mixer.folded([x.text for x in many.collect()])
+    prev, hashes, _ = mixer.contexts(data, starts)
+    assert pairs.sum() == len(data) and (np.bincount(prev.astype(int) * 256 + data, minlength=65536).reshape(256, 256) == pairs).all()
+    for h, b in zip(hashes, sizes, strict=True):
+        distinct = len(np.unique(h.astype(np.int64) << 8 | data))
+        assert b == 16 or 0.9 * 4 * distinct <= 1 << b <= 1.1 * 8 * distinct
+    assert max(sizes) > max(mixer.byte_pairs(few)[1]) == 16
+    # the tables by brute force
+    codes = mixer.Codes(pairs, sizes)
+    _, bit, _, slots, _ = mixer.decisions(data, starts, codes)
+    got = mixer.tables([many.where("doc_id < 9"), many.where("doc_id >= 9")], spark.sparkContext.broadcast(codes))[-1]
+    for s, t in zip(slots, got, strict=True):
+        n, ones = np.bincount(s, minlength=len(t)), np.bincount(s, bit, len(t))
+        assert (t == np.clip(np.rint(12 * np.log((ones + 0.3) / (n - ones + 0.3))), -120, 120)).all()
+
+
 def test_plain_split_equals_the_general_one():
     import itertools
 
