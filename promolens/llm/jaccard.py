@@ -352,15 +352,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component stays, that with the smallest id (of its rows, any one), and all that link with nothing."""
-    found = join(docs, width, percent).where("linked")
-    gone = written(found.where("NOT doc_id <=> component_id").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__gone")).distinct(), "gone")
-    kept = docs.withColumn("__id", F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).cast("long")).join(gone, F.col("__id") == F.col("__gone"), "left_anti")
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        single = found.where("doc_id <=> component_id").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__id")).distinct()
-        stays = kept.join(single, "__id", "left_semi").dropDuplicates(["__id"])
-        kept = kept.join(single, "__id", "left_anti").unionByName(stays)
-    return kept.select(*docs.columns)
+    """One row of each component stays, that with the smallest id (null first; of rows that share it, any one), and all that link with nothing.
+
+    Rows are vertices of their own, by a key: texts link them, a null or repeated id does not."""
+    keyed = written(docs.withColumn("__key", F.monotonically_increasing_id()), "keyed")
+    found = written(join(keyed.select(F.col("__key").alias("doc_id"), "text"), width, percent).where("linked").select(F.col("doc_id").alias("__key"), "component_id"), "linked")
+    found = found.join(keyed.select("__key", F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.col("__key").alias("key")).alias("rank")), "__key")
+    stays = found.groupBy("component_id").agg(F.min("rank").getField("key").alias("__key"))
+    gone = written(found.join(stays, ["component_id", "__key"], "left_anti").select("__key"), "gone")
+    return keyed.join(gone, "__key", "left_anti").select(*docs.columns)
 
 
 QUERIES, ORACLES = {"op10_jaccard": query}, {}

@@ -59,6 +59,14 @@ def test_jaccard(docs, rows, empty):
     assert jaccard.join(empty).count() == 0
 
 
+def test_distinct_documents_links_rows_by_text_alone(spark):
+    texts = [prose(60) for _ in range(7)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[4]), (6, texts[0]), (7, texts[5]), (3, texts[5]), (8, texts[6]), (None, ""), (None, None)]
+    got = [tuple(r) for r in jaccard.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    want = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (3, texts[5]), (8, texts[6]), (None, ""), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_bpe(docs, rows, empty):
     from tokenizers import Tokenizer
 
