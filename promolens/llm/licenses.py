@@ -8,7 +8,8 @@ share of a template's words that are aligned; a template is found where it reach
 A text that reaches COVERED must hold one of any set of template words that makes up more than the rest; the rarest such set
 of each template is looked for by Spark first, exactly, so that only texts with a chance reach Python. In the text, spans
 around such words, as long as the template on both sides, are aligned on their own, so that a license is found
-anywhere in a long text, and more than once.
+anywhere in a long text, and more than once. Copies close together hide each other's words from the anchors; where a span aligns too
+little or too far apart, windows of about the template's length, at each place that a telling word may have in it, are aligned instead.
 
 Defined results: null, empty and license-free texts give no finds (the query returns them with empty lists); equal coverage of
 overlapping spans keeps the earlier and longer one; repeated rows and null ids pass through; extra columns are kept.
@@ -118,6 +119,26 @@ def telling(template: list[str], covered: float = COVERED) -> set[str]:
     return out
 
 
+def apart(t: list[str], lo: int, hi: int, template: list[str], marks: set[str], covered: float) -> list[tuple[int, int, int]]:
+    """(matched words, first word, end word) of the template's copies in a span, each aligned in a window of its own, in order of position."""
+    n, counts = len(template), Counter(template)
+    enough, places = covered * n - 1e-9, {w: [k for k, x in enumerate(template) if x == w] for w in marks}
+    likely = lambda x, y: sum(min(c, counts[w]) for w, c in Counter(t[x:y]).items() if w in counts) >= enough
+    if not likely(lo, hi):
+        return []
+    starts = {at - k for at in range(lo, hi) if t[at] in marks for k in places[t[at]]}
+    spare, found = n - -(-round(covered * 1000) * n // 1000), []
+    for x, y in sorted({(max(lo, s - wide), min(hi, s + n + wide)) for s in starts for wide in (0, spare)}):
+        if likely(x, y) and len(pairs := aligned(t[x:y], template)) >= enough:
+            found.append((len(pairs), x + pairs[0][0], x + pairs[-1][0] + 1))
+    kept: list = []
+    for f in sorted(set(found), key=lambda f: (-f[0], f[2] - f[1], f[1])):
+        at = bisect_left(kept, f[1], key=lambda k: k[1])
+        if (at == 0 or kept[at - 1][2] <= f[1]) and (at == len(kept) or f[2] <= kept[at][1]):
+            kept.insert(at, f)
+    return kept
+
+
 def scan(text: str, templates: dict[str, list[str]], covered: float = COVERED) -> list[tuple[str, float, int, int]]:
     """(license, coverage, first word, end word) of all finds, in order of position."""
     t, out = words(text), []
@@ -135,10 +156,12 @@ def scan(text: str, templates: dict[str, list[str]], covered: float = COVERED) -
                 spans += [[lo, lo + 4 * n], [lo + 2 * n, hi]]
                 continue
             pairs = aligned(t[lo:hi], template)
-            if len(pairs) >= covered * n - 1e-9:
-                first, end = lo + pairs[0][0], lo + pairs[-1][0] + 1
-                out.append((name, len(pairs) / n, first, end))
-                spans += [[lo, first]] * (first - lo >= covered * n) + [[end, hi]] * (hi - end >= covered * n)
+            found = [(len(pairs), lo + pairs[0][0], lo + pairs[-1][0] + 1)] if len(pairs) >= covered * n - 1e-9 else []
+            if not found or found[0][2] - found[0][1] > (2 - covered) * n:
+                found = apart(t, lo, hi, template, marks, covered) or found
+            if found:
+                out += [(name, k / n, first, end) for k, first, end in found]
+                spans += [[x, y] for x, y in zip([lo, *[f[2] for f in found]], [*[f[1] for f in found], hi], strict=True) if y - x >= covered * n]
     best: dict = {}
     for f in out:
         key = (f[0], f[2])

@@ -228,6 +228,19 @@ def test_licenses(docs, empty):
     assert all(r.finds == [] for r in got) and licenses.scanned(empty).count() == 0
 
 
+def test_licenses_close_together():
+    lists = {k: licenses.words(v) for k, v in licenses.TEMPLATES.items()}
+    names = lambda text: [f[0] for f in licenses.scan(text, lists)]
+    assert names("Copyright A. All rights reserved. Copyright B. All rights reserved. The rest of the text goes on.") == ["all-rights-reserved"] * 2
+    mit = licenses.TEMPLATES["mit"]
+    edited = [mit, mit.replace("hereby ", ""), mit.replace("publish, distribute, sublicense", "print, hand out, license"), mit.replace("The above", "Here the above")]
+    for n in (2, 3, 4, 9):
+        for between in (" ", " Copyright someone else. ", " " + prose(50) + " "):
+            found = [f for f in licenses.scan(prose(60) + " " + between.join(edited[k % 4] for k in range(n)) + " " + prose(60), lists) if f[0] == "mit"]
+            assert len(found) == n and all(f[1] >= 0.9 for f in found)
+            assert all(a[3] <= b[2] for a, b in zip(found, found[1:]))
+
+
 def test_mixer(spark, docs, rows):
     model = mixer.learn(docs.select("doc_id", "text").where("length(text) < 5000 OR text IS NULL"))
     texts = [prose(50), "", None, "zzz qqq", prose(3000)]
