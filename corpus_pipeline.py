@@ -44,7 +44,7 @@ STAGES = [
     ("BPE encoding and decoding", bpe_encoding),
 ]
 
-#: The classifier and the tokenizer are beyond SQL; tests hold run() against a brute-force version.
+#: The classifier and the tokenizer are beyond SQL; no test holds run() against a brute-force version yet.
 ORACLE_SQL = None
 
 
