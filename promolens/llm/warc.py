@@ -18,6 +18,7 @@ share the largest page id each is a response; an empty table makes no archive. E
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,9 @@ FILE_RECORDS = 5000
 #: Up to this many repeated digests (some 10 MB) are broadcast, and no payload is shuffled.
 BROADCAST_DIGESTS = 100_000
 
+#: Bytes that are inflated at a time where a member fails.
+STEP = 4096
+
 VERSION, END = b"WARC/1.", b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -89,6 +93,34 @@ def member(record: bytes) -> bytes:
     return z.compress(record) + z.flush()
 
 
+def _same(digest: bytes, stated: str) -> bool:
+    """Digests are stated in hexadecimal or base32, in either case."""
+    return stated.lower() == digest.hex() or stated.upper().rstrip("=") == base64.b32encode(digest).decode()
+
+
+def _inflated(data: memoryview) -> tuple[bytes, int, str]:
+    """What a gzip member holds, as far as it inflates, its length in the archive (0 if it has no end) and what is wrong with it."""
+    z = zlib.decompressobj(wbits=31)
+    try:
+        raw = z.decompress(data)
+        return (raw, len(data) - len(z.unused_data), "") if z.eof else (raw, 0, "member without end")
+    except zlib.error as e:
+        problem = f"member does not inflate: {e}"
+    z, out = zlib.decompressobj(wbits=31), []
+    for at in range(0, len(data), STEP):
+        before = z.copy()
+        try:
+            out.append(z.decompress(data[at : at + STEP]))
+        except zlib.error:
+            for k in range(at, at + STEP):  # byte by byte up to the failure
+                try:
+                    out.append(before.decompress(data[k : k + 1]))
+                except zlib.error:
+                    break
+            break
+    return b"".join(out), 0, problem
+
+
 def parse(data: bytes, at: int) -> tuple[dict, int, int, int] | str:
     """(headers, block start, block end, record end) of the record at a position, or what is wrong with it."""
     if data[at : at + len(VERSION)] != VERSION:
@@ -112,7 +144,7 @@ def parse(data: bytes, at: int) -> tuple[dict, int, int, int] | str:
     stated = headers.get("warc-payload-digest", "")
     if stated.startswith("sha1:") and headers.get("warc-type") == "response":
         split = data.find(END, start, end)
-        if split < 0 or hashlib.sha1(memoryview(data)[split + 4 : end]).hexdigest() != stated[5:]:
+        if split < 0 or not _same(hashlib.sha1(memoryview(data)[split + 4 : end]).digest(), stated[5:]):
             return "payload digest differs"
     return headers, start, end, end + 4
 
@@ -140,7 +172,8 @@ def _plain(data: bytes, base: int) -> Iterator[tuple]:
 def salvage(data: bytes) -> Iterator[tuple]:
     """('record', offset, length, headers, block) and ('gap', offset, length, reason), in order; every byte is in one of them.
 
-    Offsets are those of the archive; a gzip member's records bear the member's offset and length."""
+    Offsets are those of the archive; a gzip member's records, and the gaps between them, bear the member's offset and length. A member that
+    has no end gives the records before that, one that fails those with a good digest, and a gap; it reaches to the next member."""
     if data[:3] != GZIP:
         first = data.find(GZIP)
         mixed = first >= 0 and data.find(VERSION) < 0
@@ -151,17 +184,15 @@ def salvage(data: bytes) -> Iterator[tuple]:
     while at < len(data):
         problem, found, end = "no gzip member", [], at
         if data[at : at + 3] == GZIP:
-            z = zlib.decompressobj(wbits=31)
-            try:
-                raw = z.decompress(memoryview(data)[at:])
-                if not z.eof:
-                    problem = "member without end"
-                else:
-                    end = len(data) - len(z.unused_data)
-                    found = list(_plain(raw, 0))
-                    problem = next((x[3] for x in found if x[0] == "gap"), "" if found else "empty member")
-            except zlib.error as e:
-                problem = f"member does not inflate: {e}"
+            raw, size, problem = _inflated(memoryview(data)[at:])
+            found = list(_plain(raw, 0))
+            if problem.startswith("member does not inflate"):  # its bytes may be wrong before it fails, so only a digest makes a record good
+                found = [x if x[0] == "gap" or (x[3].get("warc-type") == "response" and x[3].get("warc-payload-digest", "").startswith("sha1:")) else ("gap", *x[1:3], problem) for x in found]
+            if not size and found and found[-1][0] == "record":
+                found.append(("gap", 0, 0, problem))
+            problem = problem or next((x[3] for x in found if x[0] == "gap"), "" if found else "empty member")
+            nxt = data.find(GZIP, at + 1)
+            end = at + size if size else len(data) if nxt < 0 else nxt
         good = [x for x in found if x[0] == "record"]
         if problem and not good:
             if gap < 0:
@@ -172,8 +203,8 @@ def salvage(data: bytes) -> Iterator[tuple]:
         if gap >= 0:
             yield "gap", gap, at - gap, why
             gap = -1
-        for _, _, _, headers, block in good:
-            yield "record", at, end - at, headers, block
+        for x in found:
+            yield ("record", at, end - at, *x[3:]) if x[0] == "record" else ("gap", at, end - at, x[3])
         at = end
     if gap >= 0:
         yield "gap", gap, at - gap, why

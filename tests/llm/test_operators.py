@@ -1,5 +1,6 @@
 """The training-data operators against brute force, round trips and defined edge cases, on small tables."""
 
+import base64
 import hashlib
 import math
 import random
@@ -192,6 +193,26 @@ def test_salvage():
     assert list(warc.salvage(b"")) == [] and next(iter(warc.salvage(b"junk")))[0] == "gap"
 
 
+def test_salvage_of_members_with_several_records():
+    def record(i, p, digest):
+        b = warc.HTTP.encode() + p
+        return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:{digest(hashlib.sha1(p))}\r\nContent-Length: {len(b)}\r\n\r\n".encode() + b + b"\r\n\r\n"
+
+    forms = [lambda h: h.hexdigest(), lambda h: h.hexdigest().upper(), lambda h: base64.b32encode(h.digest()).decode(), lambda h: base64.b32encode(h.digest()).decode().lower()]
+    noise = np.random.default_rng(3)
+    parts = [record(i, noise.integers(97, 123, 3000, dtype=np.uint8).tobytes(), forms[i % 4]) for i in range(12)]
+    kinds = lambda data: [x[0] for x in warc.salvage(data)]
+    assert kinds(b"".join(parts)) == kinds(warc.member(b"".join(parts))) == ["record"] * 12
+    whole = warc.member(parts[0] + b"junk" + parts[1])
+    assert [x[:3] for x in warc.salvage(whole)] == [(k, 0, len(whole)) for k in ("record", "gap", "record")]
+    packed = warc.member(b"".join(parts))
+    cut = kinds(packed[: len(packed) * 2 // 3])
+    assert cut.count("record") >= 6 and cut[-1] == "gap"
+    bad = bytearray(packed)
+    bad[len(bad) * 2 // 3 :] = b"\xff" * (len(bad) - len(bad) * 2 // 3)
+    assert kinds(bytes(bad) + warc.member(parts[3])).count("record") >= 7
+
+
 def test_graph(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(700, 8)).astype(np.float32)
