@@ -7,8 +7,10 @@ import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,50 +264,134 @@ def test_licenses_close_together():
             assert all(a[3] <= b[2] for a, b in zip(found, found[1:]))
 
 
-def test_mixer(spark, docs, rows):
-    model = mixer.learn(docs.select("doc_id", "text").where("length(text) < 5000 OR text IS NULL"))
-    texts = [prose(50), "", None, "zzz qqq", prose(3000)]
-    one = [float(model.costs([t])[0]) for t in texts]
-    assert np.allclose(model.costs(texts), one, rtol=1e-5) and all(c < 0 for c in one)
-    got = mixer.scored(docs, model)
-    assert got.columns == [*docs.columns, "score"] and got.where("score < 0").count() == len(rows)
-
-
-def test_mixer_learns_from_all_training_documents(spark):
-    texts = {k: ("quartz " if k % 2 else "zebra ") * (4000 if k % 50 == 0 else 5) for k in range(700)}
-    part = lambda k: zlib.crc32(str(k).encode()) % 10
-    frame = lambda keep: spark.createDataFrame([(k, t) for k, t in texts.items() if keep(part(k))], "doc_id long, text string")
-    assert all(t.any() for t in mixer.learn(frame(lambda p: p == 9)).tables)
-    docs = frame(lambda p: True)
-    model = mixer.learn(docs)
-    sums = mixer.decided(docs.where(mixer.fold(F.col("doc_id"), 10) > 0), spark.sparkContext.broadcast(model)).groupBy().sum().first()
-    bits = [model.inputs([t])[0] for k, t in texts.items() if part(k)]
-    assert (sums["sum(n)"], sums["sum(ones)"]) == (sum(map(len, bits)), sum(int(b.sum()) for b in bits))
-    # long texts alone set the weights and the map, too
-    one = mixer.learn(spark.createDataFrame([(k, "quartz zebra " * 3000) for k in range(20)], "doc_id long, text string"))
-    plain = mixer.Model(one.codes, one.tables)
-    assert not np.allclose(one.weights, plain.weights) and one.costs(["quartz zebra " * 50])[0] > plain.costs(["quartz zebra " * 50])[0]
-
-
-def test_mixer_tables_grow_with_the_contexts(spark):
+def plain_tokens(text):
+    """(gap, word) of a text, the end being the empty word."""
+    low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    out, at = [], 0
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", low):
+        out.append((low[at : m.start()], m.group()))
+        at = m.end()
+    return [*out, (low[at:], "")]
+
+
+def test_mixer_by_brute_force(spark, rows, tmp_path, monkeypatch):
+    """The query against plain Python: base columns, and the score from the model's spelling of each word."""
+    rows = [(i, t if t is None or len(t) < 9000 else t[:9000]) for i, t, *_ in rows] + [(100 + k, prose(60) + " w" + "x" * k) for k in range(40)] + [(300, "y" * 9000 + " y"), (301, "\n\n \t a\n\nb\tc ")]
+    rows += [(400 + k, rows[-5 - k % 2][1]) for k in range(6)]
+    spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, score string, row long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    for name, value in (("BLOCK", 256), ("TOGETHER", 4096), ("CHUNK", 512), ("PIECE", 700), ("HEAD", 9), ("SPAN", 4)):
+        monkeypatch.setattr(mixer, name, value)
+    models, learn = [], mixer.learn
+    monkeypatch.setattr(mixer, "learn", lambda words: models.append(learn(words)) or models[-1])
+    got = sorted(mixer.query(spark, str(tmp_path)).collect(), key=str)
+    part = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10
+    texts = [(i, part(i), plain_tokens(t)) for i, t in rows]
+    count = Counter(w for _, f, t in texts if f for _, w in t)
+    n, v = sum(count.values()), len(count)
+    once, twice = [sum(c == k for c in count.values()) for k in (1, 2)]
+    discount = min(0.95, max(0.05, once / (once + 2 * twice)))
+    spelling = lambda w: sum(models[0].costs(pa.array([x], pa.binary()))[0] for x in ([w[k : k + 700] for k in range(0, len(w), 700)] or [w]))
+    lp = {w: math.log10(discount * v / n) + spelling(w.encode()) for w in {w for *_, t in texts for _, w in t}}
+    lp = {w: math.log10((count[w] - discount) / n + 10 ** max(x, -300)) if count[w] else x for w, x in lp.items()}
+    kind = lambda g: {"": 0, " ": 1, "\n": 2, "\n\n": 3}.get(g, 4)
+    gaps = Counter(kind(g) for _, f, t in texts if f for g, _ in t)
+    share = {k: (gaps[k] + 0.5) / (sum(gaps.values()) + 2.5) for k in range(5)}
+    hashes = {w: int(mixer.word_hashes(pa.array([w.encode()], pa.binary()))[0]) for w in lp}
+    coded, held = [], {}
+    for i, f, t in texts:
+        cost, again, seen, own = [], 0, Counter(), Counter()
+        for k, (g, w) in enumerate(t):
+            rate = 0.35 * (again + 0.2) / (k + 4)
+            repeats = rate * seen[w] / max(k, 1)
+            word = math.log10(1 - rate) + lp[w] if not seen[w] else math.log10((1 - rate) * 10 ** max(lp[w], -300) + repeats)
+            gap = math.log10((own[kind(g)] + 4 * share[kind(g)]) / (k + 4)) + (kind(g) == 4) * max(0, min(len(g) + 3, 255) - 3) * math.log10(1 / 12)
+            cost.append(word + gap)
+            again += seen[w] > 0
+            seen[w] += 1
+            own[kind(g)] += 1
+        spans, h = [], [hashes[w] for _, w in t]
+        for k in range(mixer.ANCHOR - 1, len(t) - 1):
+            spans.append(k) if anchor(h, k) % mixer.SPAN == 0 else None
+        spans = [(tuple(w for _, w in t[a - 2 : a + 1]), tuple(w for _, w in t[a + 1 : b + 1]), sum(cost[a + 1 : b + 1])) for a, b in zip(spans, [*spans[1:], len(t) - 1])]
+        if f:
+            for a, b in {a: b for a, b, _ in spans[::-1]}.items():
+                held.setdefault(a, Counter())[b] += 1
+        coded.append((i, f, t, sum(cost), spans))
+    top = {a: c for a, c in held.items()}
+    flags = []
+    for k, (i, f, t, _, spans) in enumerate(coded):
+        for a, b, cost in spans:
+            if a in top:
+                most = max(top[a].values())
+                ties = [x for x, n_ in top[a].items() if n_ == most]
+                follows = max(ties, key=lambda x: span_hash([hashes[w] for w in x]))
+                others = most - (f > 0 and b == follows)
+                all_ = sum(top[a].values()) - (f > 0)
+                if others > 0:
+                    gate = (0 if others < 2 else 1 if others < 3 else 2 if others < 8 else 3) * 3 + (2 if others == all_ else 1 if others * 2 >= all_ else 0)
+                    flags.append((k, f, gate, b == follows, cost))
+    hits, all_ = Counter(g for _, f, g, hit, _ in flags if f and hit), Counter(g for _, f, g, _, _ in flags if f)
+    total = [c for *_, c, _ in coded]
+    for k, _, g, hit, cost in flags:
+        chance = (hits[g] + 0.5) / (all_[g] + 1)
+        total[k] += math.log10(chance) - cost if hit else math.log10(1 - chance)
+    assert sum(hit for *_, hit, _ in flags) > 20
+    want = []
+    for (i, f, t, *_), score, (_, text) in zip(coded, total, rows, strict=True):
+        base = sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for _, w in t)
+        want.append((i, f == 0, len(t), sum(count[w] > 0 for _, w in t), n, base, score, -score * math.log2(10) / max(1, len((text or "").encode()))))
+    want.sort(key=lambda r: str(r[:5]))
+    got = [tuple(r) for r in sorted(got, key=lambda r: str(tuple(r)[:5]))]
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert sorted(round(r[5], 5) for r in got) == sorted(round(r[5], 5) for r in want)
+    assert np.allclose(sorted(r[6] for r in got), sorted(r[6] for r in want), rtol=1e-4, atol=1e-3)
+    assert np.allclose(sorted(r[7] for r in got), sorted(r[7] for r in want), rtol=1e-4, atol=1e-3)
+
+
+def anchor(h, k):
+    """The hash of the last ANCHOR tokens at k, by its definition."""
+    h = np.array(h[: k + 1], np.uint64)
+    out = h.copy()
+    with np.errstate(over="ignore"):
+        for back in range(1, mixer.ANCHOR):
+            out[back:] = out[back:] * np.uint64(0x9E3779B97F4A7C15) + h[:-back]
+    return int(mixer.mixed(out, 5)[-1])
+
+
+def span_hash(h):
+    return int(mixer._running(np.array(h, np.uint64), np.array([0]), np.array([len(h)])).view(np.int64)[0])
+
+
+def test_mixer_spelling_learns_from_all_words(spark):
     r = random.Random(1)
-    frame = lambda n: spark.createDataFrame([(k, " ".join("".join(r.choices("abcdefghijklmnop", k=8)) for _ in range(n))) for k in range(40)], "doc_id long, text string")
-    few, many = frame(20), frame(3000)
-    pairs, sizes = mixer.byte_pairs(many)
-    data, starts = mixer.folded([x.text for x in many.collect()])
-    prev, hashes, _ = mixer.contexts(data, starts)
-    assert pairs.sum() == len(data) and (np.bincount(prev.astype(int) * 256 + data, minlength=65536).reshape(256, 256) == pairs).all()
-    for h, b in zip(hashes, sizes, strict=True):
-        distinct = len(np.unique(h.astype(np.int64) << 8 | data))
-        assert b == 16 or 0.9 * 4 * distinct <= 1 << b <= 1.1 * 8 * distinct
-    assert max(sizes) > max(mixer.byte_pairs(few)[1]) == 16
-    # the tables by brute force
-    codes = mixer.Codes(pairs, sizes)
-    _, bit, _, slots, _ = mixer.decisions(data, starts, codes)
-    got = mixer.tables([many.where("doc_id < 9"), many.where("doc_id >= 9")], spark.sparkContext.broadcast(codes))[-1]
-    for s, t in zip(slots, got, strict=True):
+    words = {"".join(r.choices("abcdefghijklmnop", k=r.randint(1, 9))).encode() for _ in range(3000)} | {b"", b"z" * 9000}
+    frame = spark.createDataFrame([(bytearray(w), k % 3, (k + 1) % 2) for k, w in enumerate(sorted(words))], "word binary, a long, b long").repartition(3)
+    half = [[w for k, w in enumerate(sorted(words)) if (k % 3, (k + 1) % 2)[x]] for x in (0, 1)]
+    model = mixer.learn(frame)
+    flat = [w[k : k + 4096] for w in half[0] + half[1] for k in range(0, max(len(w), 1), 4096)]
+    bit, _, slots, _ = mixer.decisions(pa.array(flat, pa.binary()), model.codes)
+    for s, t in zip(slots, model.tables, strict=True):  # the tables by brute force
         n, ones = np.bincount(s, minlength=len(t)), np.bincount(s, bit, len(t))
-        assert (t == np.clip(np.rint(12 * np.log((ones + 0.3) / (n - ones + 0.3))), -120, 120)).all()
+        assert (t[n > 0] == mixer.level(ones, n)[n > 0]).all() and (t[n == 0] == mixer.LEVELS // 2).all()
+    sums = mixer.decided(frame.where("a > 0"), spark.sparkContext.broadcast(model)).groupBy().sum().first()
+    bits = mixer.decisions(pa.array([w[k : k + 4096] for w in half[0] for k in range(0, max(len(w), 1), 4096)], pa.binary()), model.codes)[0]
+    assert (sums["sum(n)"], sums["sum(ones)"]) == (len(bits), int(bits.sum()))
+    one = [model.costs(pa.array([w], pa.binary()))[0] for w in flat[:50]]
+    assert np.allclose(model.costs(pa.array(flat[:50], pa.binary())), one, rtol=1e-5) and max(one) < 0
+    # what was learnt is worth more than even odds, on words of the same kind
+    new = pa.array(["".join(r.choices("abcdefghijklmnop", k=8)).encode() for _ in range(300)], pa.binary())
+    assert model.costs(new).sum() > -300 * 9 * 2.4
+    # tables grow with the distinct words
+    many = spark.range(60000).select(F.md5(F.col("id").cast("string")).cast("binary").alias("word"))
+    assert mixer.byte_pairs(many)[1][1] > model.codes.sizes[1] > 15
+
+
+def test_mixer_of_nothing(spark, empty, tmp_path):
+    empty.write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert mixer.query(spark, f"{tmp_path}/none").count() == 0
+    spark.createDataFrame([(None, "Held out"), (None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/held/documents.parquet")
+    got = mixer.query(spark, f"{tmp_path}/held").collect()
+    assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.score < 0 and math.isclose(r.base_score, 0.0, abs_tol=1e-9) for r in got)
 
 
 def test_plain_split_equals_the_general_one():
