@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from promolens.functions import vocab
 from promolens.functions.text import any_of
 
-_AMOUNT = r"(?i)\$\s*(\d+(?:\.\d{1,2})?)\s*(off|discount|cover|admission|tickets?|beers?|drinks?|cocktails?|shots?|wines?|specials?)?"
 
 
 def value(text: Column) -> Column:
@@ -22,7 +24,7 @@ def value(text: Column) -> Column:
         .when(low.rlike(r"\b(2[\s-]?for[\s-]?1|two[\s-]?for[\s-]?one|bogo)\b"), "2 for 1")
         .when(low.rlike(r"\d\s*%\s*off"), F.concat(got(r"(?i)(\d+)\s*%\s*off"), F.lit("% off")))
         .when(low.rlike(r"\d\s*%"), F.concat(got(r"(\d+)\s*%"), F.lit("%")))
-        .when(text.rlike(_AMOUNT), F.trim(F.concat(F.lit("$"), got(_AMOUNT), F.lit(" "), F.coalesce(got(_AMOUNT, 2), F.lit("")))))
+        .when(text.rlike(vocab.AMOUNT), F.trim(F.concat(F.lit("$"), got(vocab.AMOUNT), F.lit(" "), F.coalesce(got(vocab.AMOUNT, 2), F.lit("")))))
         .otherwise("Unknown")
     )
 
@@ -32,10 +34,10 @@ def status(text: Column, phrases: list[str] = vocab.LIMITED) -> Column:
     return F.when(any_of(F.lower(t), phrases), "Limited Time").when(t.rlike(r"\S"), "Ongoing").otherwise("Unknown")
 
 
-def motivator(category: Column, text: Column) -> Column:
+def motivator(category: Column, text: Column, urgent: str = vocab.URGENT) -> Column:
     base = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in vocab.MOTIVATORS.items() for x in kv]), category), F.lit("Value"))
     timed = category.isin("Happy Hour", "Discount", "Matinee Deal") & text.rlike(vocab.TIMED)
-    return F.when(F.lower(text).rlike(vocab.URGENT), "FOMO").when((base == "Value") & timed, "FOMO").otherwise(base)
+    return F.when(F.lower(text).rlike(urgent), "FOMO").when((base == "Value") & timed, "FOMO").otherwise(base)
 
 
 def cuisine(business: Column, text: Column, category: Column) -> Column:
@@ -47,3 +49,57 @@ def cuisine(business: Column, text: Column, category: Column) -> Column:
 def group_friendly(text: Column, category: Column) -> Column:
     low, real = F.lower(F.coalesce(text, F.lit(""))), ~F.coalesce(category, F.lit("")).isin("", "No Incentive", "Unknown")
     return F.when(real, "Yes").when(any_of(low, vocab.GROUP_NEGATIVES), "No").when(any_of(low, vocab.GROUP_SIGNALS), "Likely").otherwise("Unknown")
+
+
+def _mapped(key: Column, groups: dict[str, list[str]], more: dict[str, str]) -> Column:
+    known = {k: v for v, ks in groups.items() for k in ks} | more
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), F.trim(F.coalesce(key, F.lit(""))))
+
+
+def broad_category(label: Column, compared: bool = False) -> Column:
+    """The broad class of a fine label, null if it is unknown; reports know one label more."""
+    return _mapped(label, vocab.BROAD, vocab.COMPARED_ONLY if compared else {})
+
+
+def motivator_class(label: Column) -> Column:
+    return _mapped(label, {}, vocab.MOTIVATOR_CLASSES)
+
+
+def venue_type(raw: Column, training: bool = False) -> Column:
+    return F.coalesce(_mapped(raw, vocab.VENUE_TYPES, vocab.TRAINED_TYPES if training else vocab.SERVED_TYPES), F.lit("Other"))
+
+
+def relabel_motivator(category: Column) -> Column:
+    return F.coalesce(_mapped(category, {}, vocab.RELABEL_MOTIVATORS), F.lit("Value"))
+
+
+def llm_status(text: Column) -> Column:
+    return status(text, vocab.LLM_LIMITED)
+
+
+def llm_motivator(category: Column, text: Column) -> Column:
+    return motivator(category, text, vocab.LLM_URGENT)
+
+
+def _times(texts: pd.Series) -> pd.Series:
+    found = [re.compile(p, re.IGNORECASE) for p in vocab.TIMES]
+
+    def one(text):
+        taken, out = [], []
+        for pattern in found:
+            for m in pattern.finditer(text or ""):
+                a, b = m.span()
+                what = m.group().strip()
+                inside = any(x <= a < y or x < b <= y for x, y in taken)
+                if not inside and what and what.lower() not in {o.lower() for o in out}:
+                    out.append(what)
+                    taken.append((a, b))
+        return ", ".join(out[:6]) or "Unknown"
+
+    return pd.Series([one(t) for t in texts], dtype="object")
+
+
+def timing(text: Column) -> Column:
+    """The first six mentions of days and times, by pattern, then place. A match that begins or ends in one taken before is left out; it
+    takes match positions, so Arrow batches of texts go to Python."""
+    return F.pandas_udf(_times, "string")(text)

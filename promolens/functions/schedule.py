@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from promolens.functions import vocab
-from promolens.functions.text import any_of, slug
+from promolens.functions.text import any_of, let, slug
 
-_DAY = r"(?:mon(?:day)?|tue(?:sday)?|wed(?:nesday)?|thu(?:rsday)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?)"
+_DAY = vocab.DAY
 _RANGE = rf"(?i)\b({_DAY})\s*(?:-|–|through|to)\s*({_DAY})\b"
 _TIME = r"\d{1,2}(?::\d{2})?\s*(?:am|pm)"
 _TIMES = rf"(?i)({_TIME})\s*(?:-|–|to)\s*({_TIME})"
@@ -42,11 +42,13 @@ def days(timing: Column) -> Column:
 
 def clock(t: Column) -> Column:
     """12-hour text as HH:MM:00; null for hours beyond 23."""
-    hour = F.regexp_extract(t, r"(\d{1,2})", 1).try_cast("int")
-    minute = F.regexp_extract(t, r":(\d{2})", 1)
     half = F.lower(F.regexp_extract(t, r"(?i)(am|pm)", 1))
-    h = F.when((half == "pm") & (hour != 12), hour + 12).when((half == "am") & (hour == 12), F.lit(0)).otherwise(hour)
-    return F.when(h <= 23, F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":"), F.when(minute == "", "00").otherwise(minute), F.lit(":00")))
+
+    def made(p: Column) -> Column:
+        h = F.when((p["half"] == "pm") & (p["h"] != 12), p["h"] + 12).when((p["half"] == "am") & (p["h"] == 12), F.lit(0)).otherwise(p["h"])
+        return F.when(h <= 23, F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":"), F.when(p["m"] == "", "00").otherwise(p["m"]), F.lit(":00")))
+
+    return let(F.struct(F.regexp_extract(t, r"(\d{1,2})", 1).try_cast("int").alias("h"), F.regexp_extract(t, r":(\d{2})", 1).alias("m"), half.alias("half")), made)
 
 
 def periods(timing: Column) -> Column:
@@ -62,25 +64,38 @@ def periods(timing: Column) -> Column:
     return F.when(F.size(made) > 0, made).when(t.rlike(_SINGLE) & one.isNotNull(), single).otherwise(empty)
 
 
-def kind(timing: Column, expiry: Column) -> Column:
+def _kind(timing: Column, expiry: Column, found: Column) -> Column:
     low = F.lower(F.coalesce(timing, F.lit("")))
     return (
         F.when((expiry == "Limited Time") & low.rlike(_DATE), "date_range")
         .when(low.isin("unknown", ""), "always")
-        .when((F.size(days(timing)) > 0) | (F.size(periods(timing)) > 0) | any_of(low, vocab.PERIOD_WORDS), "recurring")
+        .when((F.size(found["d"]) > 0) | (F.size(found["p"]) > 0) | any_of(low, vocab.PERIOD_WORDS), "recurring")
         .otherwise("always")
     )
 
 
+def _found(timing: Column) -> Column:
+    return F.struct(days(timing).alias("d"), periods(timing).alias("p"))
+
+
+def kind(timing: Column, expiry: Column) -> Column:
+    return let(_found(timing), lambda f: _kind(timing, expiry, f))
+
+
 def incentives(category: Column, title: Column, description: Column, timing: Column, expiry: Column) -> Column:
     """The nested array of zero or one incentive with its schedule."""
-    of, d, p = kind(timing, expiry), days(timing), periods(timing)
-    dates = F.regexp_extract_all(timing, F.lit(_DATE), F.lit(1))
-    recurring, ranged = of == "recurring", of == "date_range"
-    parsed = recurring & ((F.size(d) > 0) | (F.size(p) > 0))
-    schedule = F.when(parsed | ranged, F.struct(
-        F.when(recurring & (F.size(d) > 0), d).alias("days"), F.when(recurring & (F.size(p) > 0), p).alias("periods"), F.when(recurring, F.lit(ZONE)).alias("timezone"),
-        F.when(ranged, F.get(dates, F.lit(0))).alias("start_date"), F.when(ranged, F.coalesce(F.get(dates, F.lit(1)), F.get(dates, F.lit(0)))).alias("end_date"),
-    ))
-    one = F.array(F.struct(slug(category).alias("id"), title.alias("title"), description.alias("description"), of.alias("type"), F.lit(None).cast("string").alias("priority"), schedule.alias("schedule")))
+
+    def entry(f: Column) -> Column:
+        of, d, p = f["of"], f["f"]["d"], f["f"]["p"]
+        dates = F.regexp_extract_all(timing, F.lit(_DATE), F.lit(1))
+        recurring, ranged = of == "recurring", of == "date_range"
+        parsed = recurring & ((F.size(d) > 0) | (F.size(p) > 0))
+        schedule = F.when(parsed | ranged, F.struct(
+            F.when(recurring & (F.size(d) > 0), d).alias("days"), F.when(recurring & (F.size(p) > 0), p).alias("periods"), F.when(recurring, F.lit(ZONE)).alias("timezone"),
+            F.when(ranged, F.get(dates, F.lit(0))).alias("start_date"), F.when(ranged, F.coalesce(F.get(dates, F.lit(1)), F.get(dates, F.lit(0)))).alias("end_date"),
+        ))
+        return F.struct(slug(category).alias("id"), title.alias("title"), description.alias("description"), of.alias("type"), F.lit(None).cast("string").alias("priority"), schedule.alias("schedule"))
+
+    made = F.transform(F.array(_found(timing)), lambda f: F.struct(f.alias("f"), _kind(timing, expiry, f).alias("of")))
+    one = F.transform(made, entry)
     return F.when(F.coalesce(category, F.lit("")).isin("", "No Incentive", "Unknown"), F.slice(one, 1, 0)).otherwise(one)

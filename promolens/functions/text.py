@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +13,11 @@ from promolens.functions import vocab
 STRIP = r"(?U)^\s+|\s+$"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once a row, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, STRIP, "")
 
@@ -31,8 +37,13 @@ def is_boilerplate(s: Column) -> Column:
 
 
 def has_incentive(s: Column) -> Column:
-    low = F.lower(s)
-    return ~is_boilerplate(s) & (any_of(low, vocab.STRONG) | (hits(low, vocab.WEAK) >= 2))
+    return let(F.lower(s), lambda low: (any_of(low, vocab.STRONG) | (hits(low, vocab.WEAK) >= 2)) & ~any_of(low, vocab.BOILERPLATE))
+
+
+def may_have_incentive(text: Column) -> Column:
+    """False only if no sentence of the text can have an incentive: a whole text is soon searched for plain strings, its sentences are not."""
+    strong = lambda low: reduce(lambda a, b: a | b, [low.contains(p) for p in vocab.STRONG])
+    return let(F.lower(F.coalesce(text, F.lit(""))), lambda low: strong(low) | (hits(low, vocab.WEAK) >= 2))
 
 
 def sentences(text: Column) -> Column:
@@ -42,7 +53,7 @@ def sentences(text: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    return F.filter(sentences(text), has_incentive)
+    return F.when(may_have_incentive(text), F.filter(sentences(text), has_incentive)).otherwise(F.array().cast("array<string>"))
 
 
 def page_score(text: Column) -> Column:
@@ -86,7 +97,7 @@ def shorten(text: Column, n: int = 70) -> Column:
 
 def ascii_clean(text: Column) -> Column:
     t = F.regexp_replace(F.regexp_replace(text, r"[^\x00-\x7F]", ""), r"\s+", " ")
-    t = F.regexp_replace(t, r"(?:\b\w\s){5,}", " ")
+    t = F.regexp_replace(t, r"\b\w(?:\s\w){4,}\b", " ")
     return F.trim(F.regexp_replace(t, " +", " "))
 
 

@@ -36,7 +36,18 @@ def classification_report(df: DataFrame, truth: str, predicted: str) -> DataFram
     return out.select("label", p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"), "support")
 
 
-def stratified_split(df: DataFrame, label: str, key: str, share: float = 0.8) -> DataFrame:
-    """df with ``train``: the given share of each label's rows, in order of a hash of the key."""
-    w = W.partitionBy(label)
-    return df.withColumn("train", F.row_number().over(w.orderBy(F.md5(F.col(key).cast("string")), key)) <= F.floor(share * F.count(F.lit(1)).over(w)))
+def stratified_split(df: DataFrame, label: str, key: str, share: float = 0.8, bits: int = 12) -> DataFrame:
+    """df with ``train``: the given share of each label's rows, in order of a hash of the key.
+
+    A label's rows are counted by the hash's first ``bits`` bits; the bucket in which the share ends is found from these counts, and
+    only within that bucket are rows ordered, so that no task needs all rows of a label. A null label is a label, as a null key is a key."""
+    h = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    d = df.withColumn("__h", h).withColumn("__b", F.conv(F.substring("__h", 1, bits // 4), 16, 10).cast("int")).withColumn("__l", F.coalesce(F.col(label).cast("string"), F.lit("\u0000")))
+    n = d.groupBy("__l", "__b").agg(F.count(F.lit(1)).alias("__n"))  # at most 2^bits rows a label
+    w = W.partitionBy("__l")
+    ends = n.withColumn("__to", F.sum("__n").over(w.orderBy("__b"))).withColumn("__most", F.floor(share * F.sum("__n").over(w)))
+    ends = ends.select("__l", "__b", (F.col("__most") - (F.col("__to") - F.col("__n"))).alias("__room"), "__n")
+    d = d.join(ends, ["__l", "__b"])
+    whole = d.where("__room >= __n OR __room <= 0").withColumn("train", F.col("__room") > 0)
+    cut = d.where("__room > 0 AND __room < __n").withColumn("train", F.row_number().over(W.partitionBy("__l", "__b").orderBy("__h", key)) <= F.col("__room"))
+    return whole.unionByName(cut).select(*df.columns, "train")

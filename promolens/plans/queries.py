@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from promolens.functions import extract, schedule, text, vocab
+from promolens.functions import text, vocab
 from promolens.operators import compare, matching, pages
-from promolens.plans import fixtures
 from promolens.sources.tables import table
 
 QUERIES: dict = {}
@@ -43,8 +42,10 @@ _INCENTIVE = f"NOT regexp_matches(lower(s), {_either(vocab.BOILERPLATE)}) AND (r
 @query("sentences", f"SELECT doc_id, CAST(count(DISTINCT s) AS BIGINT) AS n_sentences, CAST(count(DISTINCT CASE WHEN {_INCENTIVE} THEN s END) AS BIGINT) AS n_candidates FROM ({_SENTENCES}) GROUP BY doc_id")
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentence split, filter and dedup: counts per document with any sentence."""
-    d = table(spark, sf_dir, "documents").select("doc_id", text.sentences(F.col("text")).alias("s")).where(F.size("s") > 0)
-    return d.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.size(F.filter("s", text.has_incentive)).cast("long").alias("n_candidates"))
+    t = F.col("text")
+    n = lambda s: F.struct(F.size(s).cast("long").alias("n_sentences"), F.when(text.may_have_incentive(t), F.size(F.filter(s, text.has_incentive))).otherwise(0).cast("long").alias("n_candidates"))
+    found = F.filter(F.array(text.let(text.sentences(t), n)), lambda x: x["n_sentences"] > 0)  # exploded, so that no filter repeats the split
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.n_sentences", "x.n_candidates")
 
 
 @query("top_candidates", f"SELECT source, rank, doc_id, s AS sentence FROM (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY length(s) DESC, doc_id, s) AS INT) AS rank FROM (SELECT DISTINCT doc_id, source, s FROM ({_SENTENCES}) WHERE {_INCENTIVE})) WHERE rank <= 5")
@@ -55,16 +56,34 @@ def top_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("source", "rank", "doc_id", "sentence")
 
 
-@query("page_scores", f"SELECT doc_id, {_count('t', vocab.PAGE_KEYWORDS)} AS score FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents)")
+#: DuckDB has no lookbehind: the words that "free" does not count after are taken away with it first.
+_SCORE = _count("t", vocab.PAGE_KEYWORDS) + r" + CAST(regexp_matches(regexp_replace(t, '(gluten|sugar|duty|toll|fat|risk|hassle|free)[- ]free\b', '', 'g'), '\bfree\b') AS INT)"
+
+
+@query("page_scores", f"SELECT doc_id, {_SCORE} AS score FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents)")
 def page_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.hits(F.lower(F.coalesce("text", F.lit(""))), vocab.PAGE_KEYWORDS).alias("score"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.page_score(F.col("text")).alias("score"))
+
+
+def _venues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source's hundred-document runs as venues, with a path for each of its pages."""
+    d = table(spark, sf_dir, "documents")
+    path = F.element_at(F.array(*[F.lit(p) for p in vocab.PATHS]), (F.col("doc_id") % len(vocab.PATHS) + 1).cast("int"))
+    return d.select(F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100).cast("string")).alias("venue"), path.alias("path"), F.col("doc_id").alias("ord"), "text")
+
 
+_PATH = "[" + ", ".join(f"'{p}'" for p in vocab.PATHS) + f"][doc_id % {len(vocab.PATHS)} + 1]"
+_VENUES = f"SELECT source || '/' || CAST(floor(doc_id / 100) AS BIGINT) AS venue, {_PATH} AS path, doc_id AS ord, coalesce(text, '') AS text, (SELECT {_SCORE} FROM (SELECT lower(coalesce(d.text, '')) AS t)) AS score FROM documents d"
 
-@query("chosen_pages")
+
+@query("chosen_pages", f"""
+WITH v AS ({_VENUES}), r AS (SELECT *, row_number() OVER (PARTITION BY venue ORDER BY CASE WHEN text = '' THEN 0 ELSE score / (1 + length(text) / 8000::DOUBLE) END DESC, ord) AS k, count(*) OVER (PARTITION BY venue) AS n FROM v),
+c AS (SELECT venue, CASE WHEN max(CASE WHEN k = 1 THEN score END) >= 3 OR max(n) = 1 THEN max(CASE WHEN k = 1 THEN text END) ELSE string_agg(text, ' ' ORDER BY k) FILTER (text <> '') END AS t FROM r WHERE k <= 2 GROUP BY venue)
+SELECT venue, CAST(length(left(t, 8000)) AS INT) AS n_chars, md5(left(t, 8000)) AS chosen_md5 FROM c
+""")
 def chosen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A source's hundred-document runs as venues: the page text that is chosen for each."""
-    d = table(spark, sf_dir, "documents").withColumn("venue", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100).cast("string")))
-    return pages.choose(d, "venue", "text", "doc_id").select("venue", F.length("chosen").alias("n_chars"), F.md5(F.col("chosen").cast("binary")).alias("chosen_md5"))
+    """The page text that is chosen for each venue."""
+    return pages.choose(_venues(spark, sf_dir), "venue", "text", "ord").select("venue", F.length("chosen").alias("n_chars"), F.md5(F.col("chosen").cast("binary")).alias("chosen_md5"))
 
 
 @query("labelled", "SELECT l.quality, l.toxic, d.lang, count(*) AS n FROM documents d JOIN labels l USING (doc_id) GROUP BY ALL")
@@ -79,7 +98,7 @@ def labelled_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("value_counts", "SELECT source, lang, count(*) AS n, count(DISTINCT text) AS n_texts FROM documents GROUP BY ALL")
 def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("text").alias("n_texts"))
+    return table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.md5(F.col("text").cast("binary"))).alias("n_texts"))
 
 
 @query("class_weights", "SELECT quality, (SELECT count(*) FROM labels) / (count(*) * (SELECT count(DISTINCT quality) FROM labels)::DOUBLE) AS weight FROM labels GROUP BY quality")
@@ -129,45 +148,6 @@ def field_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.agreement(gold.join(model, "doc_id").select(F.lit("label").alias("field"), compare.flag(F.col("a"), F.col("b")).alias("flag")))
 
 
-def _joined(c: Column) -> Column:
-    return F.array_join(c, ",")
-
-
-@query("schedules")
-def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Timing strings as days, periods and type."""
-    t, expiry = F.col("timing"), F.when(F.col("timing").contains("2026"), "Limited Time").otherwise("Ongoing")
-    p = F.transform(schedule.periods(t), lambda x: F.concat(F.coalesce(x["start"], F.lit("")), F.lit("-"), F.coalesce(x["end"], F.lit(""))))
-    return fixtures.timings(spark).select("id", schedule.kind(t, expiry).alias("type"), _joined(schedule.days(t)).alias("days"), _joined(p).alias("periods"))
-
-
-@query("incentives")
-def incentives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("timing")
-    return fixtures.timings(spark).select("id", F.to_json(schedule.incentives(F.lit("Happy Hour"), F.lit("Happy Hour"), t, t, F.lit("Ongoing"))).alias("incentives"))
-
-
-_S = fixtures.values([(k, c, s) for k, (c, s) in enumerate(fixtures.SENTENCES)])
-
-
-@query("values", rf"""SELECT id, CASE WHEN regexp_matches(l, '\b(free admission|free entry|no cover|no charge|complimentary)\b') THEN '$0 (free)'
-    WHEN regexp_matches(l, '\bfree\b') AND NOT regexp_matches(l, '\bfree (parking|wifi|shipping)\b') THEN '$0 (free)' WHEN regexp_matches(l, '\bopen bar\b') THEN 'Open bar'
-    WHEN regexp_matches(l, '\bhalf[- ]?(price|off)\b') THEN '50% off' WHEN regexp_matches(l, '\b(2[\s-]?for[\s-]?1|two[\s-]?for[\s-]?one|bogo)\b') THEN '2 for 1'
-    WHEN regexp_matches(l, '\d\s*%\s*off') THEN regexp_extract(l, '(\d+)\s*%\s*off', 1) || '% off' WHEN regexp_matches(l, '\d\s*%') THEN regexp_extract(l, '(\d+)\s*%', 1) || '%'
-    WHEN regexp_matches(l, '\$\s*\d') THEN trim('$' || regexp_extract(s, '(?i)\$\s*(\d+(?:\.\d{{1,2}})?)\s*(off|discount|cover|admission|tickets?|beers?|drinks?|cocktails?|shots?|wines?|specials?)?', 1)
-        || ' ' || regexp_extract(s, '(?i)\$\s*(\d+(?:\.\d{{1,2}})?)\s*(off|discount|cover|admission|tickets?|beers?|drinks?|cocktails?|shots?|wines?|specials?)?', 2)) ELSE 'Unknown' END AS value,
-    CASE WHEN regexp_matches(l, {_either(vocab.LIMITED)}) THEN 'Limited Time' ELSE 'Ongoing' END AS status FROM (SELECT col0 AS id, col2 AS s, lower(col2) AS l FROM {_S})""")
-def values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.col("sentence")
-    return fixtures.sentences(spark).select("id", extract.value(s).alias("value"), extract.status(s).alias("status"))
-
-
-@query("enriched")
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s, c = F.col("sentence"), F.col("category")
-    return fixtures.sentences(spark).select("id", extract.motivator(c, s).alias("motivator"), extract.cuisine(F.lit("pub"), s, c).alias("cuisine"), extract.group_friendly(s, c).alias("group_friendly"), text.quality(s).alias("quality"), text.category_hint(s).alias("hint"), text.slug(c).alias("slug"), text.shorten(s, 20).alias("short"), text.is_menu_block(s).alias("menu"))
-
-
 _STOP = ["the", "and", "of", "to", "in", "la", "le", "les", "de", "et"]
 
 
