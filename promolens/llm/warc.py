@@ -31,8 +31,8 @@ from promolens.llm.common import shared_path, table, written
 
 #: Payloads from this size on are stored once; a repeated digest is dealt over this many join keys.
 REVISIT_BYTES, SALTS = 1000, 32
-#: Records in a file, at most.
-FILE_RECORDS = 5000
+#: Bytes of the payloads of a file of many records, at most; bounds of the payloads' size classes.
+FILE_BYTES, CLASSES = 1 << 28, (1 << 15, 1 << 19, 1 << 23)
 #: Up to this many repeated digests (some 10 MB) are broadcast, and no payload is shuffled.
 BROADCAST_DIGESTS = 100_000
 
@@ -62,8 +62,9 @@ def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
 
 
 def _uri(url):
-    """Percent-encode what may not stand in a header line."""
-    return F.replace(F.replace(F.url_encode(url), F.lit("%3A"), F.lit(":")), F.lit("%2F"), F.lit("/"))
+    """Percent-encode what may not stand in a header line (bytes outside 0x21 to 0x7E), and nothing else."""
+    one = lambda c: F.when(c.rlike(r"\A[\x21-\x7E]\z"), c).when(c == " ", "%20").otherwise(F.url_encode(c))
+    return F.array_join(F.transform(F.split(url, ""), one), "")
 
 
 def rendered(rows: DataFrame, date: str = "2000-01-01T00:00:00Z"):
@@ -82,9 +83,17 @@ def rendered(rows: DataFrame, date: str = "2000-01-01T00:00:00Z"):
 
 
 def write(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES) -> None:
-    """Write the pages as plain WARC files into a folder."""
+    """Write the pages as plain WARC files into a folder.
+
+    A file holds at most FILE_BYTES, headers apart, or one record: payloads are written by size classes, the larger the fewer in a file."""
     out = records(pages, revisit_bytes)
-    out.select(rendered(out).alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    largest = pages.agg(F.max(F.octet_length(F.col("html").cast("string")))).first()[0] or 0
+    least = 0
+    for most in [*[n for n in CLASSES if n <= largest], None]:
+        part = out.where(F.col("bytes") >= least) if most is None else out.where((F.col("bytes") >= least) & (F.col("bytes") < most))
+        top = largest + 1 if most is None else most
+        part.select(rendered(part).alias("value")).write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", max(1, FILE_BYTES // top)).text(path)
+        least = most
 
 
 def member(record: bytes) -> bytes:
@@ -131,9 +140,11 @@ def parse(data: bytes, at: int) -> tuple[dict, int, int, int] | str:
     headers = {}
     for line in lines[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
+        key = name.strip().lower().decode("latin-1")
+        # a header that is cut short and followed by another record's names them twice, or holds half a line's end
+        if not colon or b"\r" in line or b"\n" in line or (key in headers and key != "warc-concurrent-to"):
             return "malformed header"
-        headers[name.strip().lower().decode("latin-1")] = value.strip().decode("latin-1")
+        headers[key] = value.strip().decode("latin-1")
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         return "no content length"
@@ -169,42 +180,52 @@ def _plain(data: bytes, base: int) -> Iterator[tuple]:
         yield "gap", base + gap, at - gap, why
 
 
+def _next(data: bytes, at: int) -> int:
+    """Where the nearer of the next gzip member and the next version line might begin."""
+    found = [k for k in (data.find(GZIP, at), data.find(VERSION, at)) if k >= 0]
+    return min(found, default=len(data))
+
+
+def _member(data: bytes, at: int) -> tuple[list[tuple], int]:
+    """The records and gaps of the gzip member at a position, none if it holds no good record, and where it ends."""
+    raw, size, problem = _inflated(memoryview(data)[at:])
+    found = list(_plain(raw, 0))
+    if problem.startswith("member does not inflate"):  # its bytes may be wrong before it fails, so only a digest makes a record good
+        found = [x if x[0] == "gap" or (x[3].get("warc-type") == "response" and x[3].get("warc-payload-digest", "").startswith("sha1:")) else ("gap", *x[1:3], problem) for x in found]
+    if not size and found and found[-1][0] == "record":
+        found.append(("gap", 0, 0, problem))
+    if not any(x[0] == "record" for x in found):
+        return [("gap", 0, 0, problem or next((x[3] for x in found), "empty member"))], at
+    return found, at + size if size else _next(data, at + 1)
+
+
 def salvage(data: bytes) -> Iterator[tuple]:
     """('record', offset, length, headers, block) and ('gap', offset, length, reason), in order; every byte is in one of them.
 
-    Offsets are those of the archive; a gzip member's records, and the gaps between them, bear the member's offset and length. A member that
-    has no end gives the records before that, one that fails those with a good digest, and a gap; it reaches to the next member."""
-    if data[:3] != GZIP:
-        first = data.find(GZIP)
-        mixed = first >= 0 and data.find(VERSION) < 0
-        if not mixed:
-            yield from _plain(data, 0)
-            return
+    Plain records and gzip members may follow each other in any order. Offsets are those of the archive; a gzip member's records, and the gaps
+    between them, bear the member's offset and length. A member that has no end gives the records before that, one that fails those with a good
+    digest, and a gap; it reaches to the next member or version line."""
     at, gap, why = 0, -1, ""
     while at < len(data):
-        problem, found, end = "no gzip member", [], at
         if data[at : at + 3] == GZIP:
-            raw, size, problem = _inflated(memoryview(data)[at:])
-            found = list(_plain(raw, 0))
-            if problem.startswith("member does not inflate"):  # its bytes may be wrong before it fails, so only a digest makes a record good
-                found = [x if x[0] == "gap" or (x[3].get("warc-type") == "response" and x[3].get("warc-payload-digest", "").startswith("sha1:")) else ("gap", *x[1:3], problem) for x in found]
-            if not size and found and found[-1][0] == "record":
-                found.append(("gap", 0, 0, problem))
-            problem = problem or next((x[3] for x in found if x[0] == "gap"), "" if found else "empty member")
-            nxt = data.find(GZIP, at + 1)
-            end = at + size if size else len(data) if nxt < 0 else nxt
-        good = [x for x in found if x[0] == "record"]
-        if problem and not good:
+            found, end = _member(data, at)
+            problem = found[0][3] if end == at else ""
+            found = [("record", at, end - at, *x[3:]) if x[0] == "record" else ("gap", at, end - at, x[3]) for x in found]
+        else:
+            got = parse(data, at)
+            problem = got if isinstance(got, str) else ""
+            if not problem:
+                headers, start, stop, end = got
+                found = [("record", at, end - at, headers, data[start:stop])]
+        if problem:
             if gap < 0:
                 gap, why = at, problem
-            nxt = data.find(GZIP, at + 1)
-            at = len(data) if nxt < 0 else nxt
+            at = _next(data, at + 1)
             continue
         if gap >= 0:
             yield "gap", gap, at - gap, why
             gap = -1
-        for x in found:
-            yield ("record", at, end - at, *x[3:]) if x[0] == "record" else ("gap", at, end - at, x[3])
+        yield from found
         at = end
     if gap >= 0:
         yield "gap", gap, at - gap, why
@@ -219,6 +240,11 @@ def _page(value: str | None) -> str | None:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of a folder's archives, and their quarantined gaps (record_type ``gap``, problem set)."""
+    return rows(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content"))
+
+
+def rows(archives: DataFrame) -> DataFrame:
+    """read(), of archives (path, content)."""
 
     def work(batches):
         for b in batches:
@@ -238,8 +264,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], SCHEMA.replace(" long", "").replace(" string", "").split(", "))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(work, SCHEMA)
+    return archives.mapInArrow(work, SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,4 +284,34 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN top IS NULL OR top IS N
 FROM d LEFT JOIN m USING (payload_digest)
 """
 
-QUERIES, ORACLES = {"op4_warc": query}, {"op4_warc": ORACLE}
+def damaged(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, content): a folder's archives, every record a gzip member in some, and damaged by their length: a byte flipped, a part cut out, strange bytes put in."""
+
+    def work(batches):
+        for b in batches:
+            for k in range(b.num_rows):
+                name, data = b.column(0)[k].as_py(), b.column(1)[k].as_py()
+                kind = zlib.crc32(data) % 3
+                if kind == 1:
+                    data = b"".join(member(data[x[1] : x[1] + x[2]]) for x in salvage(data))
+                third = len(data) // 3
+                data = data[:third] + bytes([data[third] ^ 1]) + data[third + 1 : 2 * third] + b"?" * 100 + data[2 * third + 50 :] if third else data
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data], pa.binary())], ["path", "content"])
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content").mapInArrow(work, "path string, content binary")
+
+
+def salvage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is salvaged of archives that were damaged on purpose: records that come back, whether each is a page's own payload, and the gaps."""
+    pages = table(spark, sf_dir, "pages")
+    path = shared_path(spark, "warc")
+    write(pages.repartition(8, "page_id"), path)
+    got = written(rows(damaged(spark, path)), "salvaged")
+    own = pages.select("page_id", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("own"))
+    back = got.where("record_type <> 'gap'").withColumn("page_id", F.expr("try_cast(page_id AS BIGINT)")).join(own, "page_id", "left")
+    right = F.col("own").eqNullSafe(F.col("payload_digest"))
+    gaps = got.where("record_type = 'gap'").groupBy(F.lit("gap").alias("record_type"), "problem").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("right"))
+    return back.groupBy("record_type", F.lit(None).cast("string").alias("problem")).agg(F.count(F.lit(1)).alias("n"), F.count_if(right).alias("right")).unionByName(gaps)
+
+
+QUERIES, ORACLES = {"op4_warc": query, "warc_salvage": salvage_query}, {"op4_warc": ORACLE}
