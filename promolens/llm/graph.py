@@ -1,13 +1,13 @@
 """Approximate nearest neighbours: a robust-pruned directed graph for each shard, searched by beams.
 
-Vectors are dealt into shards of about SHARD by the hash of their ids, each shard's graph is built in one task of bounded memory,
-and every shard is searched by all queries, which come in blocks. Points are inserted in a seeded order, a batch at a
+Vectors are dealt into shards of about SHARD by the hash of their ids and coordinates, each shard's graph is built in one task of bounded
+memory, and every shard is searched by all queries, which are broadcast in blocks of bounded size. Points are inserted in a seeded order, a batch at a
 time: a greedy beam search from the medoid proposes neighbours, and robust pruning keeps the nearest, drops the
 candidates that lie ALPHA times nearer to it than to the point, and goes on, so that kept edges point in different
 directions. Edges are also made backwards, pruned where they are too many. Equal vectors of a shard are one graph
 node with the k + 1 smallest of its ids: others of its ids can't be among the k nearest, as ties go to the smaller.
 
-The index is a table with a row for each graph node; distances of what a beam finds are computed again in double precision.
+The index is a table with a row for each shard; distances of what a beam finds are computed again in double precision.
 
 Defined results: null, empty or zero vectors and those with null or non-finite components take no part, nor do null ids; vectors
 of another length than the query's are no candidates; rows that share an id are one candidate, the nearest of them.
@@ -16,6 +16,9 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +27,19 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import table, written
 
-SHARD, DEGREE, BEAM, ALPHA, BATCH, BLOCK = 4096, 32, 64, 1.2, 256, 2048
+SHARD, DEGREE, BEAM, ALPHA, BATCH = 4096, 32, 64, 1.2, 256
+#: Bytes of the queries that are broadcast at a time.
+ASKED = 1 << 26
 K, EVERY = 10, 100
 
 
 def squared(x: np.ndarray, a: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Squared distances of each row of a to its ids' rows of x; infinite where the id is negative."""
-    v = x[np.maximum(ids, 0)]
-    d = np.einsum("qkd,qkd->qk", v, v) - 2 * np.einsum("qkd,qd->qk", v, a) + np.einsum("qd,qd->q", a, a)[:, None]
+    d = np.empty(ids.shape, x.dtype)
+    step = max(1, (1 << 22) // max(1, ids.shape[1] * x.shape[1]))  # rows of a at a time: 16 MB of coordinates
+    for at in range(0, len(ids), step):
+        v, b = x[np.maximum(ids[at : at + step], 0)], a[at : at + step]
+        d[at : at + step] = np.einsum("qkd,qkd->qk", v, v) - 2 * np.einsum("qkd,qd->qk", v, b) + np.einsum("qd,qd->q", b, b)[:, None]
     return np.where(ids < 0, np.inf, np.maximum(d, 0))
 
 
@@ -102,7 +110,7 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float =
         at += len(batch)
         found, _ = search(x, edges, start, x[batch], beam)
         # points of a batch don't see each other in the graph; they are candidates of each other all the same
-        near = np.argsort(((x[batch][:, None] - x[batch][None]) ** 2).sum(2), axis=1, kind="stable")[:, : 1 + degree // 2]
+        near = np.argsort(squared(x, x[batch], np.broadcast_to(batch, (len(batch), len(batch)))), axis=1, kind="stable")[:, : 1 + degree // 2]
         edges[batch] = pruned(x, batch, np.hstack([found, edges[batch], batch[near]]), degree, alpha)
         to, from_ = edges[batch].ravel(), np.repeat(batch, degree)
         to, from_ = to[keep := to >= 0], from_[keep]
@@ -124,54 +132,78 @@ def usable(df: DataFrame) -> DataFrame:
     return df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(fine).select("vec_id", v.alias("v"))
 
 
+def centred(x: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    """In single precision, which far from the origin would not tell neighbours apart."""
+    return (x - middle).astype(np.float32)
+
+
 def index(vectors: DataFrame, k: int = K, shard: int = SHARD) -> DataFrame:
-    """(shard, dim, node, start, ids, v, edges): the graphs, a row for each distinct vector of a shard."""
+    """(shard, dim, start, x, edges, ids, counts): the graphs, one row each: distinct vectors in double precision, edges and ids laid flat in bytes."""
+    vectors = written(vectors.distinct(), "vectors")  # rows that repeat an id and a vector are one
     n = vectors.count()
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // shard)))).cast("int")).withColumn("dim", F.size("v"))
+    # dealt by id and vector, so that rows that share an id are not one shard's
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, -(-n // shard)))).cast("int")).withColumn("dim", F.size("v"))
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         x, node = np.unique(np.stack(pdf["v"].to_numpy()), axis=0, return_inverse=True)
         node, ids = node.ravel(), pdf["vec_id"].to_numpy()
         by = np.lexsort((ids, node))
-        groups = np.split(ids[by], np.flatnonzero(np.diff(node[by])) + 1)
-        edges, start = build(x.astype(np.float32))
-        return pd.DataFrame({"shard": pdf["shard"].iloc[0], "dim": pdf["dim"].iloc[0], "node": np.arange(len(x)), "start": start, "ids": [np.unique(g)[: k + 1] for g in groups], "v": list(x), "edges": [e[e >= 0] for e in edges]})
-
-    return dealt.groupBy("shard", "dim").applyInPandas(work, "shard int, dim int, node int, start int, ids array<long>, v array<double>, edges array<int>")
-
-
-def nearest(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k nearest that the shards' beams find. graphs: a written index."""
-    blocks = max(1, -(-queries.count() // block))
-    shards = graphs.select(F.col("shard").alias("to"), F.col("dim").alias("qdim")).distinct()
-    q = queries.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("qdim")).withColumn("qblock", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    q = q.join(shards, "qdim")
-    g = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        left = left.sort_values("node")
-        x, ids = np.stack(left["v"].to_numpy()), left["ids"].to_list()
-        edges = np.full((len(x), DEGREE), -1)
-        for i, e in enumerate(left["edges"]):
-            edges[i, : len(e)] = e
-        out, asked = [], np.stack(right["v"].to_numpy())
-        for at in range(0, len(asked), BATCH):
-            found, _ = search(x.astype(np.float32), edges, int(left["start"].iloc[0]), asked[at : at + BATCH].astype(np.float32), beam)
-            for i, hits in zip(range(at, at + BATCH), found, strict=False):
-                own, hits = right["query_id"].iloc[i], hits[hits >= 0]
-                d = np.sqrt(((x[hits] - asked[i]) ** 2).sum(1))
-                pairs = sorted((s, v) for s, h in zip(d, hits, strict=True) for v in ids[h] if v != own)
-                out += [(own, v, s) for s, v in pairs[:k]]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    hits = g.groupBy("shard", "dim", "block").cogroup(q.groupBy("to", "qdim", "qblock")).applyInPandas(work, "query_id long, vec_id long, score double")
-    hits = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        groups = [np.unique(g)[: k + 1] for g in np.split(ids[by], np.flatnonzero(np.diff(node[by])) + 1)]
+        edges, start = build(centred(x, x.mean(0)))
+        flat = np.concatenate(groups).astype(np.int64), np.array([len(g) for g in groups], np.int32)
+        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "dim": [x.shape[1]], "start": [start], "x": [x.tobytes()], "edges": [edges.astype(np.int32).tobytes()], "ids": [flat[0].tobytes()], "counts": [flat[1].tobytes()]})
+
+    return dealt.groupBy("shard", "dim").applyInPandas(work, "shard int, dim int, start int, x binary, edges binary, ids binary, counts binary")
+
+
+def nearest(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM, asked: int = ASKED) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k nearest that the shards' beams find. graphs: a written index.
+
+    Queries are broadcast in blocks of at most ``asked`` bytes of coordinates; each block meets the graphs where they are stored, so no graph is shuffled."""
+    spark, found = graphs.sparkSession, []
+    q = written(queries.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim")), "queries")
+    sizes = q.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each length of vectors
+    for dim, n in sorted((r.dim, r.n) for r in sizes):
+        blocks = max(1, -(-n * dim * 8 // asked))
+        for block in range(blocks):
+            part = q.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)).select("query_id", "v").toPandas()
+            if len(part):
+                sent = spark.sparkContext.broadcast((part["query_id"].to_numpy(np.int64), np.stack(part["v"].to_numpy())))
+                hits = graphs.where(F.col("dim") == dim).mapInPandas(_searcher(sent, k, beam), "query_id long, vec_id long, score double")
+                found.append(written(_best(hits, k), "hits"))
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return _best(reduce(DataFrame.unionByName, [f.drop("rank") for f in found]), k)
+
+
+def _best(hits: DataFrame, k: int) -> DataFrame:
     w = W.partitionBy("query_id").orderBy("score", "vec_id")
+    hits = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _searcher(sent, k: int, beam: int):
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        owners, asked = sent.value
+        for pdf in frames:
+            for g in pdf.itertuples():
+                x = np.frombuffer(g.x).reshape(-1, g.dim)
+                edges = np.frombuffer(g.edges, np.int32).reshape(len(x), -1)
+                ids = np.split(np.frombuffer(g.ids, np.int64), np.cumsum(np.frombuffer(g.counts, np.int32))[:-1])
+                middle = x.mean(0)
+                small = centred(x, middle)
+                for at in range(0, len(asked), BATCH):
+                    hits, _ = search(small, edges, g.start, centred(asked[at : at + BATCH], middle), beam)
+                    out = []
+                    for i, h in enumerate(hits, at):
+                        h = h[h >= 0]
+                        d = np.sqrt(((x[h] - asked[i]) ** 2).sum(1))
+                        out += [(owners[i], v, s) for s, v in sorted((s, v) for s, j in zip(d, h, strict=True) for v in ids[j] if v != owners[i])[:k]]
+                    yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    return work
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable(table(spark, sf_dir, "embeddings"))
     return nearest(written(index(vectors), "graphs"), vectors.where(F.col("vec_id") % EVERY == 0)).orderBy("query_id", "rank")

@@ -394,6 +394,61 @@ def test_mixer_of_nothing(spark, empty, tmp_path):
     assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.score < 0 and math.isclose(r.base_score, 0.0, abs_tol=1e-9) for r in got)
 
 
+def test_salvage_of_mixed_archives(spark, tmp_path):
+    def part(k):
+        p = (b"payload %d " % k) * 50
+        b = warc.HTTP.encode() + p
+        return b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nWARC-Payload-Digest: sha1:%s\r\nContent-Length: %d\r\n\r\n" % (k, hashlib.sha1(p).hexdigest().encode(), len(b)) + b + warc.END
+
+    plain, packed = [part(k) for k in range(4)], [warc.member(part(k)) for k in range(4)]
+    for data in (packed[0] + plain[1], plain[0] + packed[1], plain[0] + packed[1] + plain[2] + packed[3]):
+        assert {x[0] for x in warc.salvage(data)} == {"record"}
+    for cut in (b"", b"junk\x1f\x8b\x08junk", packed[2][:20], plain[2][:30]):
+        got = list(warc.salvage(packed[0] + cut + plain[1] + cut + packed[3]))
+        assert [x[0] for x in got].count("record") == 3 and (not cut or [x[0] for x in got] == ["record", "gap", "record", "gap", "record"])
+        assert sum(x[2] for x in got) == len(packed[0] + plain[1] + packed[3]) + 2 * len(cut)
+    d = spark.createDataFrame([(1, "http://a.b/x?q=1&r=a b#é\n%41", "h"), (2, "http://a.b/x?q=1", None), (3, None, "x" * 40000)], "page_id long, url string, html string")
+    assert d.select(warc._uri(F.col("url")).alias("u")).first().u == "http://a.b/x?q=1&r=a%20b#%C3%A9%0A%41"
+    warc.write(d, f"{tmp_path}/w")
+    assert sorted((r.page_id, r.payload_bytes) for r in warc.read(spark, f"{tmp_path}/w").collect()) == [("1", 1), ("2", 0), ("3", 40000)]
+    d.limit(0).write.parquet(f"{tmp_path}/e/pages.parquet")
+    assert warc.query(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_salvage_query(spark, tmp_path):
+    spark.createDataFrame([(k, f"http://a/{k}", f"<p>{k} {prose(60)}</p>") for k in range(400)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = warc.salvage_query(spark, str(tmp_path)).collect()
+    back, gaps = [r for r in got if r.record_type == "response"], [r for r in got if r.record_type == "gap"]
+    assert len(back) == 1 and back[0].n == back[0].right >= 350 and sum(r.n for r in gaps) >= 8  # what comes back is right
+
+
+def test_graph_far_from_the_origin_and_repeated_ids(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(1500, 16)) + 10_000
+    rows = [(int(k), [float(c) for c in v]) for k, v in enumerate(x)] + [(7, [float(c) for c in x[300]]), (7, [float(c) for c in x[300]]), (1499, [1.0, 2.0]), (1498, None), (None, [1.0]), (100, [float("inf")] * 16)]
+    d = graph.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = {}
+    g = graph.index(d, shard=400).cache()
+    for row in graph.nearest(g, d.where("vec_id % 100 = 0"), asked=16 * 8 * 4).collect():
+        got.setdefault(row.query_id, []).append((row["rank"], row.vec_id, row.score))
+    known = [(i, np.array(v)) for i, v in rows if i is not None and v is not None and len(v) == 16 and np.isfinite(v).all()]
+    right = all_ = 0
+    for q in range(0, 1500, 100):
+        best = {}
+        for i, v in known:
+            if i != q:
+                s = float(np.sqrt(((v - x[q]) ** 2).sum()))
+                best[i] = min(s, best.get(i, np.inf))
+        want = sorted((s, i) for i, s in best.items())[:10]
+        have = sorted(got[q])
+        assert [h[0] for h in have] == list(range(1, 11)) and all(abs(best[i] - s) < 1e-9 for _, i, s in have)
+        right += len({i for _, i in want} & {h[1] for h in have})
+        all_ += 10
+    assert right / all_ >= 0.95 and got[300][0][1:] != ()
+    assert (1, 7, 0.0) in got[300]
+    assert graph.nearest(g, d.limit(0)).count() == 0
+
+
 def test_plain_split_equals_the_general_one():
     import itertools
 
