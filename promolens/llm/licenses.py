@@ -12,7 +12,8 @@ anywhere in a long text, and more than once. Copies close together hide each oth
 little or too far apart, windows of about the template's length, at each place that a telling word may have in it, are aligned instead.
 
 Defined results: null, empty and license-free texts give no finds (the query returns them with empty lists); equal coverage of
-overlapping spans keeps the earlier and longer one; repeated rows and null ids pass through; extra columns are kept.
+overlapping spans keeps the earlier and longer one; repeated rows and null ids pass through; extra columns are kept, but one
+named finds is replaced, and none may be named __likely.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm.common import table
+from promolens.llm.common import ascii_lower, table
 
 COVERED = 0.8
 
-#: Notices and license texts as their authors publish them.
+#: Notices and parts of license texts (grant and disclaimer apart) as their authors publish them.
 TEMPLATES = {
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "mit-line": "Released under the MIT License.",
@@ -53,7 +54,43 @@ disclaimer in the documentation and/or other materials provided with the distrib
 that the above copyright notice and this permission notice appear in all copies.""",
     "gpl-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
 published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "mit-disclaimer": """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR
+ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "bsd-disclaimer": """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "bsd-3-clause-endorsement": """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.""",
+    "isc-disclaimer": """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES
+OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION,
+ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with
+this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "lgpl-3.0": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as
+published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.""",
+    "agpl-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "cc-by-line": "Licensed under CC BY 4.0.",
+    "cc-by-sa-line": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nc-line": "Licensed under CC BY-NC 4.0.",
+    "cc-by-nd-line": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-line": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-line": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
+#: Templates that differ in a word or two: of overlapping finds only the one with the most matched words stays (of equal ones, the better covered).
+ALIKE = [{k for k in TEMPLATES if k.startswith("cc-by")}, {"gpl-3.0", "lgpl-3.0", "agpl-3.0"}]
 
 _WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 #: The commonest words of the templates; a template's telling words are any others.
@@ -171,6 +208,12 @@ def scan(text: str, templates: dict[str, list[str]], covered: float = COVERED) -
     for f in sorted(best.values(), key=lambda f: (f[0], -f[1], f[2], -f[3])):
         if not any(k[0] == f[0] and f[2] < k[3] and k[2] < f[3] for k in kept):
             kept.append(f)
+    for family in ALIKE:
+        own = sorted((f for f in kept if f[0] in family), key=lambda f: (-round(f[1] * len(templates[f[0]])), -f[1], f[0]))
+        kept = [f for f in kept if f[0] not in family]
+        for f in own:
+            if not any(k[0] in family and f[2] < k[3] and k[2] < f[3] for k in kept):
+                kept.append(f)
     return sorted(kept, key=lambda f: (f[2], f[3], f[0]))
 
 
@@ -181,8 +224,8 @@ def scanned(docs: DataFrame, templates: dict[str, str] | None = None, covered: f
     """docs and ``finds``; of texts that can't reach the coverage, an empty array."""
     lists = {k: words(v) for k, v in (templates or TEMPLATES).items()}
     marks = sorted(set().union(*(telling(t, covered) for t in lists.values())))
-    likely = F.coalesce(F.lower("text").rlike("(?<![a-z0-9])(?:" + "|".join(map(re.escape, marks)) + ")(?![a-z0-9])"), F.lit(False))
-    docs = docs.withColumn("__likely", likely)
+    likely = F.coalesce(ascii_lower(F.col("text")).rlike("(?<![a-z0-9])(?:" + "|".join(map(re.escape, marks)) + ")(?![a-z0-9])"), F.lit(False))
+    docs = docs.drop("finds").withColumn("__likely", likely)
     names, kind = [c for c in docs.columns if c != "__likely"], pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first", pa.int32()), ("end", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]):

@@ -473,3 +473,99 @@ def test_shingles_by_brute_force(monkeypatch):
         assert len(got) == len({tuple(words[k : k + 3]) for k in range(max(1, len(words) - 2))} if words else ())
     monkeypatch.setattr(jaccard, "BLOCK", 16)  # blocks end between words, so they change nothing
     assert all(np.array_equal(jaccard.shingles(t, 3), s) for t, s in zip(texts, whole, strict=True))
+
+
+def test_licenses_against_a_naive_aligner(spark):
+    """Finds of whole texts against the longest common subsequence with the template at the best place."""
+    lists = {k: licenses.words(v) for k, v in licenses.TEMPLATES.items()}
+    noise = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    cases = [(name, noise(40) + [w for k, w in enumerate(t) if len(t) < 12 or k % 17] + noise(30)) for name, t in lists.items()]
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for k, y in enumerate(b, 1):
+                last, row[k] = row[k], last + 1 if x == y else max(row[k], row[k - 1])
+        return row[-1]
+
+    rows = [(k, " ".join(t), "clash") for k, (_, t) in enumerate(cases)] + [(None, None, "x"), (901, "", "x"), (902, "Licensed under CC BY-NC 4.0.", "x"), (903, "LICENSED UNDER CC BY 4.0 and more", "x"), (903, "plain text", "x")]
+    got = licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string, finds string")).collect()
+    found = {r.doc_id: {f.license: f for f in r.finds} for r in got if r.doc_id is not None and r.text}
+    for k, (name, t) in enumerate(cases):
+        assert name in found[k], name
+        assert abs(found[k][name].coverage - common(t, lists[name]) / len(lists[name])) < 0.06
+        for other, f in found[k].items():
+            assert common(t[f.first : f.end], lists[other]) >= licenses.COVERED * len(lists[other]) - 1e-9
+    assert [sorted(f.license for f in r.finds) for r in got if r.doc_id in (902, 903)] == [["cc-by-nc-line"], ["cc-by-line"], []]
+    assert all(r.finds == [] for r in got if not r.text) and licenses.scanned(spark.createDataFrame([], "text string")).count() == 0
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """Each stage of run() against plain Python over what the stage before it kept."""
+    import tokenizers
+
+    import corpus_pipeline
+
+    r = random.Random(9)
+    word = lambda: "".join(r.choices("abcdefghij", k=r.randint(2, 7)))
+    texts = [" ".join(word() for _ in range(60)) + ".\n" + " ".join(word() for _ in range(20)) for _ in range(60)]
+    near = [t.replace(t.split()[5], "edited", 1) for t in texts[:12]]
+    shared = " ".join(word() for _ in range(30))
+    texts = [*texts, *near, texts[0], texts[1], *[f"{shared}\n{t}" for t in texts[20:24]], None, "", "CAPS!!! " * 40]
+    rows = [(k, t, "en", f"s{k % 3}" if k % 5 else None, len(t or "")) for k, t in enumerate(texts)] + [(None, texts[30], "en", "s1", 1), (3, texts[40], "en", "s2", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 0 if k % 7 == 3 else 1, 0) for k in range(len(texts)) if k % 2], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = mixer.written(stage(spark, docs, str(tmp_path)), "stage")
+        seen.append(docs.collect())
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    key = lambda rows_: sorted(((x.doc_id is None, x.doc_id, x.text or "") for x in rows_), key=str)
+    scores = {(x.doc_id, x.text): x.s for x in quality.score(spark.read.parquet(f"{tmp_path}/documents.parquet"), quality.learn(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet")), "s").collect()}
+    assert key(seen[0]) == sorted(((i is None, i, t or "") for i, t, *_ in rows if scores[(i, t)] >= 0.5), key=str)
+    before = {w for x in seen[0] for w in (x.text or "").split("\n")}
+    assert all(line in before for x in seen[1] for line in (x.text or "").split("\n")) and sum((x.text or "").count(shared) for x in seen[1]) <= 1
+    # all pairs of five-word shingles at 0.8; the first by id stays
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := (x.text or "").lower().split()) else frozenset() for x in seen[1]]
+    label = list(range(len(sets)))
+    for _ in sets:
+        for a, x in enumerate(sets):
+            for b, y in enumerate(sets):
+                if x and y and 10 * len(x & y) >= 8 * len(x | y):
+                    label[a] = label[b] = min(label[a], label[b])
+    groups = {}
+    for k, n in enumerate(label):
+        groups.setdefault(n, []).append(seen[1][k])
+    kept = [min(g, key=lambda x: (x.doc_id is not None, x.doc_id or 0)) for g in groups.values()]
+    assert sorted(str(x.doc_id) for x in seen[2]) == sorted(str(x.doc_id) for x in kept)
+    assert {(x.doc_id, x.text) for x in seen[3]} <= {(x.doc_id, x.text) for x in seen[2]}
+    size = lambda t: len((t or "").split())
+    taken, had = Counter(), Counter()
+    for x in seen[3]:
+        taken[x.source] += size(x.text)
+    for x in seen[2]:
+        had[x.source] += size(x.text)
+    target = dict(zip(sorted(had, key=lambda s: (s is None, s)), (3, 1, 2, 3), strict=True))
+    total, free = 1.5 * sum(had.values()), set(had)
+    goal = {}
+    while free:
+        share = {s: total * target[s] / sum(target[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > 2 * had[s] + 1e-9}
+        if not over:
+            goal |= share
+            break
+        for s in over:
+            goal[s] = 2 * had[s]
+            total -= 2 * had[s]
+        free -= over
+    assert all(abs(taken[s] - goal[s]) <= 100 for s in had)
+    library = tokenizers.Tokenizer.from_file(str(bpe.vocabulary_path()))
+    library.no_truncation(), library.no_padding()
+    text_of = {(x.doc_id, x.text or "") for x in seen[3]}
+    digests = {(i, hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()) for i, t in text_of for ids in [library.encode(t, add_special_tokens=False).ids]}
+    assert {(x.doc_id, x.ids_sha256) for x in seen[4]} == digests and len(seen[4]) == len(seen[3])
+    spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/e/documents.parquet")
+    spark.read.parquet(f"{tmp_path}/labels.parquet").write.parquet(f"{tmp_path}/e/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/e").count() == 0
