@@ -44,7 +44,7 @@ STAGES = [
     ("BPE encoding and decoding", bpe_encoding),
 ]
 
-#: The classifier and the tokenizer are beyond SQL; no test holds run() against a brute-force version yet.
+#: The classifier and the tokenizer are beyond SQL; tests/llm holds the stages against plain Python on a small folder.
 ORACLE_SQL = None
 
 
