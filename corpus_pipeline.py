@@ -44,7 +44,7 @@ STAGES = [
     ("BPE encoding and decoding", bpe_encoding),
 ]
 
-#: The classifier and the tokenizer are beyond SQL; tests/llm holds the stages against plain Python on a small folder.
+#: The classifier and the tokenizer are beyond SQL; tests/llm checks the stages on a small folder, line dedup by properties only.
 ORACLE_SQL = None
 
 
