@@ -6,8 +6,9 @@ the line itself and the lines that leave one run variable, so that lines that di
 A template that two or more documents hold recurs. All its lines are dropped but those of the document with the smallest id,
 so that a passage that many documents share stays once.
 
-Templates are hashed, their documents' least and greatest ids are found with map-side combination, and only recurring
-templates are joined back to the lines; texts meet nothing but the list of their own dropped lines.
+Templates are hashed and written once. Their documents' least and greatest ids are found with map-side combination, and only
+recurring templates are joined back to the lines: the few that very many lines hold by broadcast, the others by shuffle. Texts
+meet nothing but the list of their own dropped lines.
 
 Defined results: a null text counts as empty; blank lines stay; a null id counts as the smallest; rows with the same
 id are one document and don't make a line recur; extra columns stay as they are, names starting with ``__l`` are reserved.
@@ -18,9 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm.common import let, table, words
+from promolens.llm.common import let, table, words, written
 
 LEAD, RUNS, LONG = 3, 4, 12
+#: Templates broadcast at most, of 16 bytes each.
+HOT = 4096
 
 
 def templates(line: Column) -> Column:
@@ -43,10 +46,17 @@ def templates(line: Column) -> Column:
 def dropped(docs: DataFrame) -> DataFrame:
     """(__l_id, __l_hash, __l_drop): of each document (its id and its text's hash) the numbers of the lines to drop, from 0."""
     lines = docs.select("__l_id", "__l_hash", F.posexplode(F.split("__l_text", "\n")).alias("__l_no", "__l_line"))
-    keys = lines.select("__l_id", "__l_hash", "__l_no", F.explode(templates(F.col("__l_line"))).alias("__l_key"))
-    recurring = keys.groupBy("__l_key").agg(F.min("__l_id").alias("__l_first"), F.max("__l_id").alias("__l_last")).where("__l_first < __l_last").drop("__l_last")
-    hit = keys.join(recurring, "__l_key").where("__l_id > __l_first")
-    return hit.groupBy("__l_id", "__l_hash").agg(F.collect_set("__l_no").alias("__l_drop"))
+    made = written(lines.select("__l_id", "__l_hash", "__l_no", templates(F.col("__l_line")).alias("__l_keys")).where(F.size("__l_keys") > 0), "templates")
+    keys = made.select("__l_id", "__l_hash", "__l_no", F.explode("__l_keys").alias("__l_key"))
+    held = keys.groupBy("__l_key").agg(F.min("__l_id").alias("__l_first"), F.max("__l_id").alias("__l_last"), F.count(F.lit(1)).alias("__l_n"))
+    recurring = written(held.where("__l_first < __l_last").drop("__l_last"), "recurring")
+    # templates that hold more than a HOT-th of all keys are fewer than HOT, and their lines stay where they are
+    total = recurring.agg(F.sum("__l_n")).first()[0] or 0
+    is_hot = F.col("__l_n") > F.lit(total // HOT)
+    hot, cold = (recurring.where(x).drop("__l_n") for x in (is_hot, ~is_hot))
+    hot = F.broadcast(hot)
+    hit = keys.join(hot, "__l_key").unionByName(keys.join(hot.select("__l_key"), "__l_key", "left_anti").join(cold, "__l_key"))
+    return hit.where("__l_id > __l_first").groupBy("__l_id", "__l_hash").agg(F.collect_set("__l_no").alias("__l_drop"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
