@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source is a queue of its documents in a seeded shuffle, served twice at most. A document's virtual finish
+Every source is a queue of its documents, shuffled by the md5 of their ids, served twice at most. A document's virtual finish
 time is the number of its source's words up to its end, divided by the source's target; a fair server, which
 gives each source words in proportion to its target, finishes the documents in just that order. Truncating that
 order at the total budget is truncating it at virtual time 1, where each source has had exactly its target.
@@ -9,7 +9,7 @@ The running sums never gather a source in one task: documents are summed within
 within superblocks, and superblocks within a source, so that a source with a third of all rows is spread as well.
 
 Defined results: a null text has size 0; a null source is a source of its own, after the others; a null doc_id
-shuffles as the empty text; repeated rows are documents of their own, in an arbitrary but fixed order; an empty
+shuffles as the empty text; repeated rows are documents of their own, ordered by size, then by their texts' hash; an empty
 table gives an empty mix. Columns of other names are carried along; names starting with ``__mix`` are reserved.
 """
 
@@ -17,11 +17,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from promolens.llm.common import WORD, table
+from promolens.llm.common import WORD, table, written
 
 WEIGHTS, BUDGET, REPEATS = (3, 1, 2), 1.5, 2
 #: Documents that a block holds on average.
@@ -44,16 +44,28 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET,
     return s.select("source", "source_size", F.when(F.col("__stop"), F.col("__cap")).otherwise(share * F.col("__w")).alias("target"))
 
 
+def size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def tie(docs: DataFrame) -> list[Column]:
+    """The order of rows of equal id and size, where they have texts to tell them apart."""
+    return [F.xxhash64("text")] if "text" in docs.columns else []
+
+
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, repeats: int = REPEATS, rows: int | None = None) -> DataFrame:
     """docs with __mix_size, __mix_source_size, __mix_target, __mix_before (words of its source before it) and
     __mix_finish (virtual finish time of its first service)."""
     n = docs.count() if rows is None else rows
     digits = max(2, math.ceil(math.log(max(n / BLOCK, 1), 16)))
     upper = max(1, digits // 2)
-    d = docs.withColumn("__mix_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    d = docs if "__mix_size" in docs.columns else docs.withColumn("__mix_size", size(F.col("text")))
     d = d.withColumn("__mix_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    d = d.withColumn("__mix_block", F.substring("__mix_key", 1, digits)).withColumn("__mix_s", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    # rows without an id share a key: they are blocks of their own by size, between the smaller and the larger keys
+    part = F.when(F.col("doc_id").isNull(), F.concat(F.lit("1"), F.lpad(F.hex("__mix_size"), 16, "0"))).when(F.col("__mix_key") > F.md5(F.lit("").cast("binary")), F.lit("2")).otherwise(F.lit("0"))
+    d = d.withColumn("__mix_block", F.concat(F.substring("__mix_key", 1, digits), part)).withColumn("__mix_s", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     block = d.groupBy("__mix_s", "__mix_block").agg(F.sum("__mix_size").alias("__bs"), F.first("source").alias("source"))
+    block = written(block, "blocks")
     over = block.groupBy("__mix_s", F.substring("__mix_block", 1, upper).alias("__mix_over")).agg(F.sum("__bs").alias("__os"), F.first("source").alias("source"))
     whole = targets(over.groupBy("__mix_s").agg(F.sum("__os").alias("source_size"), F.first("source").alias("source")).select("source", "source_size"), weights, budget, repeats)
     ahead = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -61,7 +73,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, repea
     whole = whole.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("__mix_s"), F.col("source_size").alias("__mix_source_size"), F.col("target").alias("__mix_target"))
     block = block.withColumn("__mix_over", F.substring("__mix_block", 1, upper)).withColumn("__ba", ahead("__bs", W.partitionBy("__mix_s", "__mix_over").orderBy("__mix_block")))
     starts = block.join(over, ["__mix_s", "__mix_over"]).join(whole, "__mix_s").select("__mix_s", "__mix_block", (F.col("__oa") + F.col("__ba")).alias("__start"), "__mix_source_size", "__mix_target")
-    within = W.partitionBy("__mix_s", "__mix_block").orderBy("__mix_key", "doc_id", "__mix_size")
+    within = W.partitionBy("__mix_s", "__mix_block").orderBy("__mix_key", "doc_id", "__mix_size", *tie(d))
     d = d.withColumn("__in", ahead("__mix_size", within)).join(starts, ["__mix_s", "__mix_block"])
     d = d.withColumn("__mix_before", F.col("__start") + F.col("__in")).withColumn("__mix_finish", F.try_divide(F.col("__mix_before") + F.col("__mix_size"), F.col("__mix_target")))
     return d.drop("__start", "__in", "__mix_s", "__mix_block", "__mix_key")
@@ -74,7 +86,8 @@ def served(before, size, source_size, target, k: int):
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document; the crossing document of each source is cut where the budget ends."""
-    m = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    sized = written(table(spark, sf_dir, "documents").select("doc_id", "source", size(F.col("text")).alias("__mix_size")), "sizes")
+    m = mix(sized)
     c = [F.col(f"__mix_{x}") for x in ("before", "size", "source_size", "target")]
     m = m.select("doc_id", c[1].alias("size"), c[2].alias("source_size"), c[3].alias("target"), sum((served(*c, k) for k in range(1, REPEATS)), served(*c, 0)).alias("taken"), F.col("__mix_finish"))
     return m.orderBy("__mix_finish", "doc_id").drop("__mix_finish")
@@ -88,7 +101,7 @@ def sequence(docs: DataFrame, **options) -> DataFrame:
     whole = lambda k: (c[1] > 0) & (2 * served(*c, k) >= c[1])
     times = F.array_compact(F.array(F.when((c[1] == 0) | whole(0), F.lit(0)), *[F.when(whole(k), F.lit(k)) for k in range(1, repeats)]))
     m = m.withColumn("__mix_k", F.explode(times)).withColumn("__mix_at", F.col("__mix_finish") + F.coalesce(F.try_divide(F.col("__mix_k") * c[2], c[3]), F.lit(0.0)))
-    return m.orderBy("__mix_at", "doc_id").select(*docs.columns)
+    return m.orderBy("__mix_at", "doc_id", *tie(m)).select(*docs.columns)
 
 
 ORACLE = r"""
