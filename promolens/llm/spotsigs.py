@@ -6,7 +6,7 @@ has many, so the fingerprint follows the text. ``near_pairs`` compares fingerpri
 that two sets meet only if their lengths allow the wanted Jaccard likeness, candidates share one of their rarest
 signatures (a prefix that two such sets cannot both miss), and likeness is computed for candidates alone.
 
-The query needs each document's successor by id. Ids are cut into ranges of about ROWS documents; in each range a window
+The query needs each document's successor by id. Ids are cut into ranges of about ROWS documents, by counts alone; in each range a window
 orders the documents, and the first document of each range visits the range before it as a guest, so that no range needs
 to know another and no sort gathers all rows.
 
@@ -87,17 +87,37 @@ def with_range(d: DataFrame, ids: list[int]) -> DataFrame:
     return d.withColumn("__group", group).withColumn("__bounds", bounds).withColumn("__range", at).withColumn("__first", first).drop("__group", "__bounds")
 
 
+def range_firsts(ids: DataFrame, rows: int = ROWS, ranges: int = RANGES) -> list[int]:
+    """The first id of each range, ascending: ranges of at most about 2 * rows rows (more where there would be over
+    ``ranges`` of them, or where one id has more). Each look counts the rows of a range where they are, and the driver gets a
+    row for each range; ranges with too many rows are cut evenly between their least and greatest id until none is left."""
+    firsts: list[int] | None = None
+    while True:
+        d = ids.withColumn("__range", F.lit(0)) if firsts is None else with_range(ids, firsts)
+        got = d.groupBy("__range").agg(F.min("__id").alias("least"), F.max("__id").alias("most"), F.count(F.lit(1)).alias("n")).collect()
+        if not got:
+            return [0]
+        rows = max(rows, -(-sum(r.n for r in got) // ranges))
+        cuts, held, more = [], rows + 1, False
+        for r in sorted(got, key=lambda r: r.least):
+            parts = min(-(-r.n // rows), r.most - r.least + 1) if r.n > 2 * rows else 1
+            if parts > 1:
+                cuts += [r.least + (r.most - r.least + 1) * k // parts for k in range(parts)]
+                held, more = rows + 1, True
+            elif held + r.n > rows:
+                cuts.append(r.least)
+                held = r.n
+            else:
+                held += r.n
+        if not more:
+            return cuts
+        firsts = cuts
+
+
 def with_next(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     """(doc_id, text, __sigs, __next, __next_sigs): each document with its successor by id, the last with the first."""
     d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("__id", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("long"))
-    n = max(1, min(RANGES, -(-d.count() // rows)))
-    cut = d.select("__id").agg(F.min("__id").alias("least"), F.percentile_approx("__id", [k / n for k in range(1, n)] or [0.5], max(10_000, 4 * n)).alias("cuts")).first()
-    if cut.least is None:
-        firsts = [0]
-    else:
-        # the first id that each range really holds; there are at most RANGES
-        got = with_range(d.select("__id"), sorted({cut.least, *cut.cuts})).groupBy("__range").agg(F.min("__id").alias("first")).collect()
-        firsts = sorted(r["first"] for r in got)
+    firsts = range_firsts(d.select("__id"), rows)
     d = with_range(d, firsts)
     before = F.when(F.col("__range") == 0, F.lit(len(firsts) - 1)).otherwise(F.col("__range") - 1)
     own = F.struct(F.col("__range").cast("long").alias("r"), F.lit(False).alias("guest"))
