@@ -120,6 +120,28 @@ def test_lines(docs, rows, empty):
     assert lines.deduplicated(empty).count() == 0
 
 
+def test_lines_of_hot_and_other_templates(docs, monkeypatch):
+    def got():
+        return Counter((r.doc_id, r["__l_dropped"], r["__l_kept"]) for r in lines.deduplicated(docs).collect())
+
+    by_broadcast = got()
+    monkeypatch.setattr(lines, "HOT", 1)  # no template is hot
+    assert got() == by_broadcast and any(k[1] for k in by_broadcast)
+
+
+@pytest.mark.parametrize("ids", [[5], [7] * 50, list(range(1000)), [-(1 << 63)] * 40 + [1 << 40, 3, 4, 5] + list(range(9, 300)) + [(1 << 63) - 1], [k * k * k for k in range(-200, 200)]])
+def test_spotsigs_ranges(spark, ids):
+    d = spark.createDataFrame([(k,) for k in ids], "__id long").repartition(3)
+    for ranges in (1 << 16, 5):
+        firsts = spotsigs.range_firsts(d, 8, ranges)
+        assert firsts == sorted(set(firsts)) and firsts[0] == min(ids) and set(firsts) <= set(ids)
+        got = Counter(max(f for f in firsts if f <= k) for k in ids)
+        most = max(8, -(-len(ids) // ranges))
+        assert all(n <= 2 * most or len({k for k in ids if max(f for f in firsts if f <= k) == f0}) == 1 for f0, n in got.items())
+        assert len(firsts) <= max(2, 2 * len(ids) // most + 2)
+    assert spotsigs.range_firsts(d.limit(0)) == [0]
+
+
 def test_spotsigs(docs, rows, empty):
     d = spotsigs.with_next(docs, rows=4).collect()
     assert len(d) == len(rows)
@@ -157,6 +179,11 @@ def test_mixing(docs, rows, empty):
     assert abs(sum(s[2] for s in by.values()) - 1.5 * total) < 1e-6 * total
     assert mixing.sequence(docs).columns == docs.columns
     assert mixing.mix(empty).count() == 0
+    many = [(None, prose(k % 7), "en", "s", None, None, None) for k in range(60)] + [(k, prose(5), "en", "s", None, None, None) for k in range(60)]
+    m = mixing.mix(docs.sparkSession.createDataFrame(many, SCHEMA).repartition(4), rows=1 << 20).collect()
+    m.sort(key=lambda r: (hashlib.md5(str("" if r.doc_id is None else r.doc_id).encode()).hexdigest(), r["__mix_size"], r["__mix_before"]))
+    assert sorted(r["__mix_before"] for r in m) == [r["__mix_before"] for r in m] and len(m) == 120
+    assert all(b["__mix_before"] - a["__mix_before"] == a["__mix_size"] for a, b in zip(m, m[1:]))
 
 
 def test_quality(spark, docs, empty):
