@@ -46,7 +46,7 @@ def templates(line: Column) -> Column:
 def dropped(docs: DataFrame) -> DataFrame:
     """(__l_id, __l_hash, __l_drop): of each document (its id and its text's hash) the numbers of the lines to drop, from 0."""
     lines = docs.select("__l_id", "__l_hash", F.posexplode(F.split("__l_text", "\n")).alias("__l_no", "__l_line"))
-    made = written(lines.select("__l_id", "__l_hash", "__l_no", templates(F.col("__l_line")).alias("__l_keys")).where(F.size("__l_keys") > 0), "templates")
+    made = written(lines.select("__l_id", "__l_hash", "__l_no", templates(F.col("__l_line")).alias("__l_keys")), "templates")
     keys = made.select("__l_id", "__l_hash", "__l_no", F.explode("__l_keys").alias("__l_key"))
     held = keys.groupBy("__l_key").agg(F.min("__l_id").alias("__l_first"), F.max("__l_id").alias("__l_last"), F.count(F.lit(1)).alias("__l_n"))
     recurring = written(held.where("__l_first < __l_last").drop("__l_last"), "recurring")
