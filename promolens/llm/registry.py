@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from promolens.llm import bpe, graph, jaccard, licenses, lines, mixer, mixing, quality, spotsigs, warc
+from promolens.llm import bpe, graph, jaccard, licenses, lines, mixer, mixing, outliers, quality, spotsigs, warc
 
-MODULES = (mixer, bpe, licenses, warc, mixing, quality, lines, spotsigs, graph, jaccard)
+MODULES = (mixer, bpe, licenses, warc, mixing, quality, lines, spotsigs, graph, jaccard, outliers)
 
 
 def queries() -> dict:
