@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from promolens.llm import bpe, graph, jaccard, licenses, lines, mixer, mixing, outliers, quality, spotsigs, variants, warc
+from promolens.llm import bpe, graph, jaccard, licenses, lines, mixer, mixing, outliers, phrases, quality, spotsigs, variants, warc
 
-MODULES = (mixer, bpe, licenses, warc, mixing, quality, lines, spotsigs, graph, jaccard, variants, outliers)
+MODULES = (mixer, bpe, licenses, warc, mixing, quality, lines, spotsigs, graph, jaccard, variants, phrases, outliers)
 
 
 def queries() -> dict:
