@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import let, table, words, written
 
-SCALE, FINE, FAR, STEPS, SHARE, LEAST, CUTOFF, FEW = 1024, 64, 64, 20, 0.75, 100, 0.9999, 100_000
+SCALE, FINE, FAR, STEPS, SHARE, LEAST, CUTOFF, FEW = 1024, 64, 64, 10, 0.75, 100, 0.9999, 100_000
 #: Least standard deviations of the four statistics: a fifth of a word's length, a symbol a hundred words, an eighth of the lines, a tenth of the words.
 FLOORS = (0.2, 0.2, 0.125, 0.1)
 D = len(FLOORS)
@@ -165,25 +165,26 @@ def estimates(own: DataFrame, few: bool) -> DataFrame:
     robust = spread.withColumns(diagonal).withColumns(nothing).withColumn("start", F.lit(0))
     plain = _moments(own.groupBy("gid", "size").agg(*_sums()), 1.0).withColumn("start", F.lit(1))
     keys = ["gid", "size", "start", *SUMS, *MODEL]
-    model = written(_whitened(robust).select(*keys).unionByName(_whitened(plain).select(*keys)), "starts")
+    one = lambda df: df.repartition(1) if few else df  # noqa: E731  a small table is one file
+    model = written(one(_whitened(robust).select(*keys).unionByName(_whitened(plain).select(*keys))), "starts")
 
     ordered = W.partitionBy("gid", "start").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    was = F.struct(*SUMS)
+    was = F.xxhash64(*SUMS)
     for _ in range(STEPS):
         met = _met(own.drop("size"), model.select("gid", "size", "start", was.alias("was"), *MODEL), few)
         bucket = F.least(F.floor(FINE * F.sqrt(_distance2())), F.lit(FAR * FINE))
         counted = met.withColumn("bucket", bucket).groupBy("gid", "start", "bucket").agg(F.first("size").alias("size"), F.first("was").alias("was"), *_sums())
         near = counted.withColumn("before", F.coalesce(F.sum("c").over(ordered), F.lit(0))).where(F.col("before") < F.ceil(SHARE * F.col("size")))
         sums = near.groupBy("gid", "start").agg(F.first("size").alias("size"), F.first("was").alias("was"), *[F.sum(k).alias(k) for k in SUMS])
-        new = _whitened(_moments(sums.withColumn("same", F.col("was") == F.struct(*SUMS)), consistency(SHARE)))
-        model = written(new.select(*keys, "same"), "concentrated")
+        new = _whitened(_moments(sums.withColumn("same", F.col("was") == was), consistency(SHARE)))
+        model = written(one(new.select(*keys, "same")), "concentrated")
         if not model.where("NOT same").limit(1).count():
             break
 
     first = W.partitionBy("gid").orderBy("logdet", "start")
     best = model.withColumn("k", F.row_number().over(first)).where("k = 1").select("gid", *MODEL)
     inner = _met(own.drop("size"), best, few).where(_distance2() <= quantile(0.975))
-    return written(_whitened(_moments(inner.groupBy("gid").agg(*_sums()), consistency(0.975))).select("gid", *MODEL), "estimates")
+    return written(one(_whitened(_moments(inner.groupBy("gid").agg(*_sums()), consistency(0.975))).select("gid", *MODEL)), "estimates")
 
 
 def judged(docs: DataFrame) -> DataFrame:
