@@ -7,8 +7,12 @@ that makes up a third of all rows is dealt over tasks.
 Records are written through Spark's text sink with the record separator CRLF CRLF as the line's end, so the
 archives are plain WARC files wherever Spark can write.
 
-Reading. ``salvage`` walks an archive, plain or of gzip members. A record counts only if its header parses, its length fits,
-the separator follows and its payload has the digest that the header states. After a failed check it searches for the next
+The last header line, X-Header-Digest, is the SHA-1 of all header bytes before it; the block has a digest too.
+
+Reading. ``salvage`` walks an archive, plain or of gzip members. A record counts only if its header parses and has the digest that it states, its
+type is known, its length fits, the separator follows and its payload (of a response) and block have the digests that the header states. Where any record of an
+archive or of a gzip member states a header digest, those without are suspect and count as damaged; so do responses without a payload digest where
+others have one. Archives whose records state neither are read by the other checks alone, and a damaged name or id in them goes unnoticed. After a failed check it searches for the next
 gzip member that inflates or the next version line, goes on there, and reports the bytes between as a quarantined gap.
 
 Defined results: a null html is the empty payload; a null url leaves out WARC-Target-URI, and control or non-ASCII characters
@@ -19,6 +23,7 @@ share the largest page id each is a response; an empty table makes no archive. E
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -27,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm.common import shared_path, table, written
+from promolens.llm.common import let, shared_path, table, written
 
 #: Payloads from this size on are stored once; a repeated digest is dealt over this many join keys.
 REVISIT_BYTES, SALTS = 1000, 32
@@ -43,6 +48,8 @@ VERSION, END = b"WARC/1.", b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 GZIP = b"\x1f\x8b\x08"
+HEADER_DIGEST = "X-Header-Digest"
+TYPES = frozenset(["warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation"])
 
 
 def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
@@ -75,11 +82,12 @@ def rendered(rows: DataFrame, date: str = "2000-01-01T00:00:00Z"):
     revisit = F.col("type") == "revisit"
     refers = F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), name("refers_to"), F.lit(f">\r\nWARC-Profile: {PROFILE}\r\n"))).otherwise("")
     body = F.when(revisit, F.lit(HTTP)).otherwise(F.concat(F.lit(HTTP), F.col("payload")))
-    return F.concat(
+    head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.col("type"), F.lit("\r\nWARC-Record-ID: <urn:page:"), name("page_id"), F.lit(f">\r\nWARC-Date: {date}\r\n"), uri, refers,
-        F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit("\r\nX-Payload-Length: "), F.col("bytes").cast("string"),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body,
+        F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit("\r\nWARC-Block-Digest: sha1:"), F.when(revisit, hashlib.sha1(HTTP.encode()).hexdigest()).otherwise(F.sha1(body.cast("binary"))), F.lit("\r\nX-Payload-Length: "), F.col("bytes").cast("string"),
+        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n"),
     )
+    return let(head, lambda h: F.concat(h, F.lit(f"{HEADER_DIGEST}: sha1:"), F.sha1(h.cast("binary")), F.lit("\r\n\r\n"), body))
 
 
 def write(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES) -> None:
@@ -130,8 +138,25 @@ def _inflated(data: memoryview) -> tuple[bytes, int, str]:
     return b"".join(out), 0, problem
 
 
-def parse(data: bytes, at: int) -> tuple[dict, int, int, int] | str:
-    """(headers, block start, block end, record end) of the record at a position, or what is wrong with it."""
+def stated(data: bytes) -> tuple[bool, bool]:
+    """Whether an archive's records state header digests, and payload digests; a damaged line or two doesn't change it unless there is no other record."""
+    return f"\r\n{HEADER_DIGEST}: sha1:".encode() in data, b"\r\nWARC-Payload-Digest: sha1:" in data
+
+
+@functools.lru_cache(1)
+def stated_by_members(data: bytes) -> tuple[bool, bool]:
+    """stated() of the archive's first whole gzip member: what a damaged one may have lost."""
+    at = data.find(GZIP)
+    while at >= 0:
+        raw, size, _ = _inflated(memoryview(data)[at:])
+        if size:
+            return stated(raw)
+        at = data.find(GZIP, at + 1)
+    return False, False
+
+
+def parse(data: bytes, at: int, strict: tuple[bool, bool] | None = None) -> tuple[dict, int, int, int] | str:
+    """(headers, block start, block end, record end) of the record at a position, or what is wrong with it. strict: what stated() says of the archive."""
     if data[at : at + len(VERSION)] != VERSION:
         return "no version line"
     if (head := data.find(END, at)) < 0:
@@ -145,6 +170,15 @@ def parse(data: bytes, at: int) -> tuple[dict, int, int, int] | str:
         if not colon or b"\r" in line or b"\n" in line or (key in headers and key != "warc-concurrent-to"):
             return "malformed header"
         headers[key] = value.strip().decode("latin-1")
+    headers_stated, payloads_stated = strict or stated(data)
+    own = headers.get(HEADER_DIGEST.lower())
+    if own is None and headers_stated:
+        return "no header digest"
+    if own is not None and (not lines[-1].startswith(f"{HEADER_DIGEST}: sha1:".encode()) or not _same(hashlib.sha1(data[at : head - len(lines[-1])]).digest(), own[5:])):
+        return "header digest differs"
+    kind = headers.get("warc-type", "")
+    if kind not in TYPES:
+        return "unknown type"
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         return "no content length"
@@ -152,18 +186,22 @@ def parse(data: bytes, at: int) -> tuple[dict, int, int, int] | str:
     end = start + int(length)
     if data[end : end + 4] != END:
         return "no separator after the block"
-    stated = headers.get("warc-payload-digest", "")
-    if stated.startswith("sha1:") and headers.get("warc-type") == "response":
+    payload, block = headers.get("warc-payload-digest", ""), headers.get("warc-block-digest", "")
+    if kind == "response" and payloads_stated and not payload:
+        return "no payload digest"
+    if payload.startswith("sha1:") and kind == "response":
         split = data.find(END, start, end)
-        if split < 0 or not _same(hashlib.sha1(memoryview(data)[split + 4 : end]).digest(), stated[5:]):
+        if split < 0 or not _same(hashlib.sha1(memoryview(data)[split + 4 : end]).digest(), payload[5:]):
             return "payload digest differs"
+    if block.startswith("sha1:") and not _same(hashlib.sha1(memoryview(data)[start:end]).digest(), block[5:]):
+        return "block digest differs"
     return headers, start, end, end + 4
 
 
-def _plain(data: bytes, base: int) -> Iterator[tuple]:
+def _plain(data: bytes, base: int, strict: tuple[bool, bool]) -> Iterator[tuple]:
     at, gap, why = 0, -1, ""
     while at < len(data):
-        got = parse(data, at)
+        got = parse(data, at, strict)
         if isinstance(got, str):
             if gap < 0:
                 gap, why = at, got
@@ -186,12 +224,18 @@ def _next(data: bytes, at: int) -> int:
     return min(found, default=len(data))
 
 
+def _digested(headers: dict) -> bool:
+    """Whether digests that parse() found right cover the payload of a response or the block of another record."""
+    covering = "warc-payload-digest" if headers.get("warc-type") == "response" else "warc-block-digest"
+    return headers.get(covering, "").startswith("sha1:")
+
+
 def _member(data: bytes, at: int) -> tuple[list[tuple], int]:
     """The records and gaps of the gzip member at a position, none if it holds no good record, and where it ends."""
     raw, size, problem = _inflated(memoryview(data)[at:])
-    found = list(_plain(raw, 0))
-    if problem.startswith("member does not inflate"):  # its bytes may be wrong before it fails, so only a digest makes a record good
-        found = [x if x[0] == "gap" or (x[3].get("warc-type") == "response" and x[3].get("warc-payload-digest", "").startswith("sha1:")) else ("gap", *x[1:3], problem) for x in found]
+    found = list(_plain(raw, 0, stated(raw) if size else tuple(map(max, stated(raw), stated_by_members(data)))))
+    if problem.startswith("member does not inflate"):  # its bytes may be wrong before it fails, so only digests make a record good
+        found = [x if x[0] == "gap" or _digested(x[3]) else ("gap", *x[1:3], problem) for x in found]
     if not size and found and found[-1][0] == "record":
         found.append(("gap", 0, 0, problem))
     if not any(x[0] == "record" for x in found):
@@ -205,14 +249,14 @@ def salvage(data: bytes) -> Iterator[tuple]:
     Plain records and gzip members may follow each other in any order. Offsets are those of the archive; a gzip member's records, and the gaps
     between them, bear the member's offset and length. A member that has no end gives the records before that, one that fails those with a good
     digest, and a gap; it reaches to the next member or version line."""
-    at, gap, why = 0, -1, ""
+    at, gap, why, strict = 0, -1, "", stated(data)
     while at < len(data):
         if data[at : at + 3] == GZIP:
             found, end = _member(data, at)
             problem = found[0][3] if end == at else ""
             found = [("record", at, end - at, *x[3:]) if x[0] == "record" else ("gap", at, end - at, x[3]) for x in found]
         else:
-            got = parse(data, at)
+            got = parse(data, at, strict)
             problem = got if isinstance(got, str) else ""
             if not problem:
                 headers, start, stop, end = got
@@ -238,6 +282,11 @@ def _page(value: str | None) -> str | None:
     return value[len("<urn:page:") : -1] if value and value.startswith("<urn:page:") else None
 
 
+def _number(value: str | None) -> int | None:
+    """A header's whole number; null if it is none or beyond 64 bits."""
+    return int(value) if value and value.isascii() and value.isdigit() and len(value) < 19 else None
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of a folder's archives, and their quarantined gaps (record_type ``gap``, problem set)."""
     return rows(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content"))
@@ -259,7 +308,7 @@ def rows(archives: DataFrame) -> DataFrame:
                     payload = block[block.find(END) + 4 :]
                     kind = h.get("warc-type", "")
                     whole = kind == "response"
-                    rows.append((_page(h.get("warc-record-id")), len(payload) if whole else int(h.get("x-payload-length") or 0), hashlib.sha1(payload).hexdigest() if whole else h.get("warc-payload-digest", "")[5:], kind, _page(h.get("warc-refers-to")), name, at, length, None))
+                    rows.append((_page(h.get("warc-record-id")), len(payload) if whole else _number(h.get("x-payload-length")), hashlib.sha1(payload).hexdigest() if whole else h.get("warc-payload-digest", "")[5:], kind, _page(h.get("warc-refers-to")), name, at, length, None))
                 columns = list(zip(*rows, strict=True)) or [()] * 9
                 kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], SCHEMA.replace(" long", "").replace(" string", "").split(", "))
