@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from promolens.functions import vocab
-from promolens.functions.text import any_of, clean_url, hits, is_menu_block, page_score, strip
+from promolens.functions.text import any_of, block_score, clean_url, hits, is_menu_block, strip
 
 PRICE, PERCENT = r"\$\s?\d+", r"\d+\s?%"
 WHEN = r"(?i)\b(mon|tue|wed|thu|fri|sat|sun|daily|weekly|happy hour|\d{1,2}\s?(am|pm))\b"
@@ -85,11 +85,11 @@ def is_chunk(text: Column) -> Column:
 
 
 def is_hero(text: Column) -> Column:
-    return F.length(text).between(20, 500) & (page_score(text) >= 1)
+    return F.length(text).between(20, 500) & (block_score(text) >= 1)
 
 
 def is_block(text: Column) -> Column:
-    return (F.length(text) >= 20) & ((page_score(text) >= 1) | has_hours(text)) & ~is_menu_block(text)
+    return (F.length(text) >= 20) & ((block_score(text) >= 1) | has_hours(text)) & ~is_menu_block(text)
 
 
 def link_score(href: Column, anchor: Column, words: list[str] = vocab.LINK_KEYWORDS) -> Column:

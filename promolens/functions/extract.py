@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
+from functools import partial
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from promolens.functions import vocab
-from promolens.functions.text import any_of
-
+from promolens.functions.text import any_of, let, strip
 
 
 def value(text: Column) -> Column:
@@ -81,25 +79,37 @@ def llm_motivator(category: Column, text: Column) -> Column:
     return motivator(category, text, vocab.LLM_URGENT)
 
 
-def _times(texts: pd.Series) -> pd.Series:
-    found = [re.compile(p, re.IGNORECASE) for p in vocab.TIMES]
+def _mentions(text: Column, pattern: str, most: int, acc: Column) -> Column:
+    """One pattern's matches, in order, folded into what is taken so far.
+
+    A match begins where the pieces and matches before it end, so a running position over the pieces between the matches and the
+    matches gives every span. A span that begins or ends in one taken before is left out, as is one whose text, but for case, is taken already."""
+    p = "(?iuU)" + pattern
+    pairs = F.arrays_zip(F.slice(F.split(text, p), 1, F.size(F.regexp_extract_all(text, F.lit(p), F.lit(0)))).alias("before"), F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("said"))
+
+    def step(t: Column, m: Column) -> Column:
+        a = t["at"] + F.length(m["before"])
+        b = a + F.length(m["said"])
+        what = strip(m["said"])
+        stabbed = F.exists(t["spans"], lambda x: ((x["a"] <= a) & (a < x["b"])) | ((x["a"] < b) & (b <= x["b"])))
+        new = (F.size(t["spans"]) < most) & ~stabbed & (what != "") & ~F.exists(t["said"], lambda x: F.lower(x) == F.lower(what))
+        span = F.array(F.struct(a.alias("a"), b.alias("b")))
+        return F.struct(b.alias("at"), F.when(new, F.concat(t["spans"], span)).otherwise(t["spans"]).alias("spans"), F.when(new, F.concat(t["said"], F.array(what))).otherwise(t["said"]).alias("said"))
+
+    return F.when(text.rlike(p), F.aggregate(pairs, F.struct(F.lit(0).alias("at"), acc["spans"].alias("spans"), acc["said"].alias("said")), step)).otherwise(acc)
+
 
-    def one(text):
-        taken, out = [], []
-        for pattern in found:
-            for m in pattern.finditer(text or ""):
-                a, b = m.span()
-                what = m.group().strip()
-                inside = any(x <= a < y or x < b <= y for x, y in taken)
-                if not inside and what and what.lower() not in {o.lower() for o in out}:
-                    out.append(what)
-                    taken.append((a, b))
-        return ", ".join(out[:6]) or "Unknown"
+def timing(text: Column, most: int = 6) -> Column:
+    """The first six mentions of days and times, by pattern, then place. A match that begins or ends in one taken before is left out.
 
-    return pd.Series([one(t) for t in texts], dtype="object")
+    No more than six spans are ever kept, so a text takes time in proportion to its length, however many mentions it has."""
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,b:int>>").alias("spans"), F.array().cast("array<string>").alias("said"))
 
+    def found(t: Column) -> Column:
+        acc = nothing
+        for pattern in vocab.TIMES:
+            acc = let(acc, partial(_mentions, t, pattern, most))
+        return F.array_join(acc["said"], ", ")
 
-def timing(text: Column) -> Column:
-    """The first six mentions of days and times, by pattern, then place. A match that begins or ends in one taken before is left out; it
-    takes match positions, so Arrow batches of texts go to Python."""
-    return F.pandas_udf(_times, "string")(text)
+    any_time = "(?iuU)" + "|".join(f"(?:{p})" for p in vocab.TIMES)
+    return F.when(text.rlike(any_time), let(text, found)).otherwise("Unknown")

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from promolens.functions import phrases as phrases_
 from promolens.functions import vocab
 
 STRIP = r"(?U)^\s+|\s+$"
@@ -23,8 +21,8 @@ def strip(c: Column) -> Column:
 
 
 def any_of(c: Column, phrases: list[str]) -> Column:
-    """Whether any phrase is a substring; one alternation, so that the expression stays small."""
-    return c.rlike("|".join(map(re.escape, phrases)))
+    """Whether any phrase is a substring."""
+    return c.rlike(phrases_.pattern(phrases))
 
 
 def hits(c: Column, phrases: list[str]) -> Column:
@@ -41,9 +39,11 @@ def has_incentive(s: Column) -> Column:
 
 
 def may_have_incentive(text: Column) -> Column:
-    """False only if no sentence of the text can have an incentive: a whole text is soon searched for plain strings, its sentences are not."""
-    strong = lambda low: reduce(lambda a, b: a | b, [low.contains(p) for p in vocab.STRONG])
-    return let(F.lower(F.coalesce(text, F.lit(""))), lambda low: strong(low) | (hits(low, vocab.WEAK) >= 2))
+    """False only if no sentence of the text can have an incentive: a whole text is walked once for all phrases, its sentences are not."""
+    known = list(dict.fromkeys(vocab.STRONG + vocab.WEAK))
+    weak = [k for k, p in enumerate(known) if p in set(vocab.WEAK)]
+    hit = phrases_.found(F.lower(text), known)
+    return let(hit, lambda h: F.exists(h, lambda k: k < len(vocab.STRONG)) | (F.size(F.array_intersect(h, F.array(*[F.lit(k) for k in weak]))) >= 2))
 
 
 def sentences(text: Column) -> Column:
@@ -56,9 +56,20 @@ def candidates(text: Column) -> Column:
     return F.when(may_have_incentive(text), F.filter(sentences(text), has_incentive)).otherwise(F.array().cast("array<string>"))
 
 
+def _free(low: Column) -> Column:
+    """Whether something is free; the costly pattern sees texts alone that hold the word."""
+    return F.when(low.contains("free"), low.rlike(vocab.FREE)).otherwise(False).cast("int")
+
+
 def page_score(text: Column) -> Column:
+    """How many keywords a whole page's text holds, free things counted once."""
+    return F.size(phrases_.found(F.lower(text), vocab.PAGE_KEYWORDS)) + _free(F.lower(F.coalesce(text, F.lit(""))))
+
+
+def block_score(text: Column) -> Column:
+    """page_score() of a short text, for lambdas."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    return hits(low, vocab.PAGE_KEYWORDS) + low.rlike(vocab.FREE).cast("int")
+    return hits(low, vocab.PAGE_KEYWORDS) + _free(low)
 
 
 def page_rank(text: Column) -> Column:

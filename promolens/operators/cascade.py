@@ -42,8 +42,9 @@ def signal_sentence(predictions: Column, pattern: str, otherwise: Column) -> Col
 def model_result(df: DataFrame, candidates: str = "candidates", predictions: str = "predictions") -> DataFrame:
     """df with ``ml``: the result of the best prediction, null if none counts. Values and times are sought in the best sentence, then in the others, then in all candidates."""
     d = df.withColumn("__all", gated(F.col(predictions))).withColumn("__best", first_best(F.col("__all"), "score"))
-    d = d.withColumn("__said", F.array_join(F.transform("__all", lambda p: p["sentence"]), " ")).withColumn("__time", extract.timing(F.coalesce("__best.sentence", F.lit(""))))
-    d = d.withColumn("__time", F.when(F.col("__time") != "Unknown", F.col("__time")).otherwise(extract.timing(F.col("__said"))))
+    d = d.withColumn("__said", F.array_join(F.transform("__all", lambda p: p["sentence"]), " "))
+    times = F.transform(F.array(F.coalesce("__best.sentence", F.lit("")), F.col("__said")), lambda t: extract.timing(t))
+    d = d.withColumn("__time", F.explode(F.array(first_known(times))))  # exploded, so that it is found once, however often the result names it
     b = F.col("__best")
     value = first_known(F.concat(F.array(extract.value(b["sentence"])), F.transform("__all", lambda p: extract.value(p["sentence"])), F.transform(F.col(candidates), extract.value)))
     made = job._struct(

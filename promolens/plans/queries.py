@@ -1,4 +1,4 @@
-"""The registered queries over stored tables and fixtures, each with the DuckDB SQL it is checked against where SQL can express it."""
+"""The registered queries over stored tables, each with the DuckDB SQL it is checked against where SQL can express it."""
 
 from __future__ import annotations
 
@@ -42,16 +42,17 @@ _INCENTIVE = f"NOT regexp_matches(lower(s), {_either(vocab.BOILERPLATE)}) AND (r
 @query("sentences", f"SELECT doc_id, CAST(count(DISTINCT s) AS BIGINT) AS n_sentences, CAST(count(DISTINCT CASE WHEN {_INCENTIVE} THEN s END) AS BIGINT) AS n_candidates FROM ({_SENTENCES}) GROUP BY doc_id")
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentence split, filter and dedup: counts per document with any sentence."""
-    t = F.col("text")
-    n = lambda s: F.struct(F.size(s).cast("long").alias("n_sentences"), F.when(text.may_have_incentive(t), F.size(F.filter(s, text.has_incentive))).otherwise(0).cast("long").alias("n_candidates"))
-    found = F.filter(F.array(text.let(text.sentences(t), n)), lambda x: x["n_sentences"] > 0)  # exploded, so that no filter repeats the split
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.n_sentences", "x.n_candidates")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", text.may_have_incentive(F.col("text")).alias("may"))
+    n = lambda s: F.struct(F.size(s).cast("long").alias("n_sentences"), F.when(F.col("may"), F.size(F.filter(s, text.has_incentive))).otherwise(0).cast("long").alias("n_candidates"))
+    found = F.filter(F.array(text.let(text.sentences(F.col("text")), n)), lambda x: x["n_sentences"] > 0)  # exploded, so that no filter repeats the split
+    return d.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.n_sentences", "x.n_candidates")
 
 
 @query("top_candidates", f"SELECT source, rank, doc_id, s AS sentence FROM (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY length(s) DESC, doc_id, s) AS INT) AS rank FROM (SELECT DISTINCT doc_id, source, s FROM ({_SENTENCES}) WHERE {_INCENTIVE})) WHERE rank <= 5")
 def top_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the five longest candidate sentences of each source (a top-k report)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", F.explode(text.candidates(F.col("text"))).alias("sentence"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text").where(text.may_have_incentive(F.col("text")))
+    d = d.select("doc_id", "source", F.explode(F.filter(text.sentences(F.col("text")), text.has_incentive)).alias("sentence"))
     w = W.partitionBy("source").orderBy(F.length("sentence").desc(), "doc_id", "sentence")
     return d.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("source", "rank", "doc_id", "sentence")
 
