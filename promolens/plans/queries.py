@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from promolens.functions import text, vocab
 from promolens.operators import compare, matching, pages
+from promolens.sources.positions import picked, positioned, sliced
 from promolens.sources.tables import table
 
 QUERIES: dict = {}
@@ -143,12 +144,31 @@ SELECT 'label' AS field, count(*) FILTER (flag = '✓') AS agree, count(*) FILTE
 """)
 def field_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold against prediction: last row of each id on both sides, inner join, flags and agreement."""
-    rows = table(spark, sf_dir, "labels").withColumn("row_idx", F.monotonically_increasing_id())
+    rows = positioned(table(spark, sf_dir, "labels"))
     gold = compare.last_by(rows.select("doc_id", F.col("quality").cast("string").alias("a"), "row_idx"), "doc_id", "row_idx").drop("row_idx")
     model = compare.last_by(rows.select("doc_id", F.col("toxic").cast("string").alias("b"), "row_idx"), "doc_id", "row_idx").drop("row_idx")
     return compare.agreement(gold.join(model, "doc_id").select(F.lit("label").alias("field"), compare.flag(F.col("a"), F.col("b")).alias("flag")))
 
 
+@query("row_positions", "SELECT doc_id, row_number() OVER () - 1 AS row_idx FROM documents")
+def row_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's place over all files."""
+    return positioned(table(spark, sf_dir, "documents").select("doc_id"))
+
+
+@query("row_slice", "SELECT doc_id, row_idx FROM (SELECT doc_id, row_number() OVER () - 1 AS row_idx FROM documents) WHERE row_idx >= 150 AND row_idx < 450")
+def row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows from the hundred and fifty-first on, three hundred of them (the slice is the feature)."""
+    return sliced(positioned(table(spark, sf_dir, "documents").select("doc_id")), 150, 300)
+
+
+@query("row_picks", """SELECT p.pos, d.doc_id, d.row_idx FROM (SELECT doc_id, row_number() OVER () - 1 AS row_idx FROM documents) d JOIN (SELECT pos, CASE WHEN i < 0 THEN i + (SELECT count(*) FROM documents) ELSE i END AS i
+    FROM (VALUES (0, 5), (1, -1), (2, 5), (3, 1000000000), (4, 0), (5, -150)) v(pos, i)) p ON d.row_idx = p.i""")
+def row_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at given places, with repeats, from the end too."""
+    return picked(positioned(table(spark, sf_dir, "documents").select("doc_id")), [5, -1, 5, 1_000_000_000, 0, -150])
+
+
 _STOP = ["the", "and", "of", "to", "in", "la", "le", "les", "de", "et"]
 
 

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from promolens.operators.evaluate import gold_reasons
 from promolens.operators.training import shuffled
+from promolens.sources.positions import positioned
 
 
 def csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header (a byte-order mark is dropped), fields over several lines, quotes doubled; row_idx is the rows' order in one file."""
-    d = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    d = d.toDF(*[c.lstrip("﻿") for c in d.columns])
-    return d.withColumn("row_idx", F.monotonically_increasing_id())
+    """CSV files with a header (a byte-order mark is dropped), fields over several lines, quotes doubled; row_idx is the rows' position, over all files in the order of their paths."""
+    d = positioned(spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path))
+    return d.toDF(*[c.lstrip("\ufeff") for c in d.columns])
 
 
 def gold(spark: SparkSession, path: str, limit: int | None = None, seed: int = 42) -> DataFrame:
@@ -47,11 +47,6 @@ def known_first(venues: DataFrame, category: str = "Incentive Category", limit:
     return venues.orderBy(unknown, order).limit(limit)
 
 
-def sliced(df: DataFrame, offset: int = 0, limit: int | None = None, order: str = "row_idx") -> DataFrame:
-    out = df.orderBy(order).offset(offset)
-    return out if limit is None else out.limit(limit)
-
-
 def projected(df: DataFrame, columns: list[str]) -> DataFrame | None:
     """The columns; none if the list is empty. A column that is missing raises."""
     return df.select(*[f"`{c}`" for c in columns]) if columns else None

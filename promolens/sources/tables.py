@@ -7,7 +7,6 @@ import json
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +39,3 @@ def venues(spark: SparkSession, path: str, fields: list[str], url: str | None =
 
     schema = "row_idx long, " + ", ".join(f"`{f}` string" for f in fields)
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(work, schema)
-
-
-def pick(df: DataFrame, indices: list[int], order: str = "row_idx") -> DataFrame:
-    """Rows at the given positions, in their order and with repeats; negative ones count from the end, others beyond it are left out."""
-    n = df.count()
-    wanted = [(k, i + n if i < 0 else i) for k, i in enumerate(indices)]
-    want = df.sparkSession.createDataFrame([w for w in wanted if 0 <= w[1] < n], "pos int, at long")
-    return df.join(F.broadcast(want), df[order] == F.col("at")).orderBy("pos").drop("pos", "at")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from promolens.functions import extract, schedule, text
 from promolens.operators import compare
-from promolens.sources.tables import json_values, pick
+from promolens.sources.positions import picked
+from promolens.sources.tables import json_values
 
 
 def rows(spark, values, *columns):
@@ -52,7 +53,7 @@ def test_quality_hint_flag(spark):
     assert rows(spark, ["Unknown", "a", "—"], compare.flag(F.col("v"), F.lit("unknown"))) == [("~",), ("✗",), ("~",)]
 
 
-def test_json_values_and_pick(spark):
+def test_json_values_and_picks(spark):
     assert list(json_values(b'\xef\xbb\xbf[{"a": 1}, 2] {"a": 2}\n{"a": 3} oops {"a": 4}')) == [{"a": 1}, {"a": 2}, {"a": 3}]
     d = spark.createDataFrame([(k,) for k in range(4)], "row_idx long")
-    assert [r.row_idx for r in pick(d, [3, -4, 3, 9]).collect()] == [3, 0, 3]
+    assert [r.row_idx for r in picked(d, [3, -4, 3, 9]).orderBy("pos").collect()] == [3, 0, 3]

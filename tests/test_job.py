@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from promolens.operators import cascade, evaluate, job, tfidf_report, training
 from promolens.operators.clients import KeywordClient
+from promolens.sources.positions import sliced
 from promolens.sources import lists, sinks
 
 VENUES = "row_idx long, venue_id string, venue_name string, city string, `Business Type` string, `Source URL` string"
@@ -102,7 +103,7 @@ def test_gold_csv(spark, tmp_path):
     open(f"{tmp_path}/labels.txt", "w").write("b\n\na\n")
     assert [tuple(r) for r in lists.labels(spark, f"{tmp_path}/labels.txt").collect()] == [(0, "b"), (1, "a")]
     v = spark.createDataFrame([(0, None), (1, "Free"), (2, "Unknown"), (3, "Discount")], "row_idx int, `Incentive Category` string")
-    assert [r.row_idx for r in lists.known_first(v, limit=3).collect()] == [1, 3, 0] and [r.row_idx for r in lists.sliced(v, 1, 2).collect()] == [1, 2] and lists.sliced(v, 3).count() == 1
+    assert [r.row_idx for r in lists.known_first(v, limit=3).collect()] == [1, 3, 0] and [r.row_idx for r in sliced(v, 1, 2).orderBy("row_idx").collect()] == [1, 2] and sliced(v, 3).count() == 1
     assert lists.projected(v, []) is None and lists.projected(v, ["Incentive Category"]).columns == ["Incentive Category"]
     assert sinks.unique_csv(v, f"{tmp_path}/o").endswith("o.csv") and sinks.unique_csv(v, f"{tmp_path}/o").endswith("o_1.csv")
     assert spark.read.option("header", True).csv(f"{tmp_path}/o_1.csv").count() == 4
