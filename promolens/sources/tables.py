@@ -8,6 +8,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from promolens.sources.json_values import objects
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,15 +29,18 @@ def json_values(raw: bytes) -> Iterator[dict]:
 
 
 def venues(spark: SparkSession, path: str, fields: list[str], url: str | None = "Source URL") -> DataFrame:
-    """(row_idx, fields as text) of all files under a path; rows without the url field's value go. A file is one task's work."""
+    """(row_idx, fields as text) of all files under a path; rows without the url field's value go. row_idx is the object's position over all files."""
 
     def work(frames):
         import pandas as pd
 
         for pdf in frames:
-            for content in pdf["content"]:
-                rows = [[k, *[x if (x := v.get(f)) is None or isinstance(x, str) else json.dumps(x) for f in fields]] for k, v in enumerate(json_values(content)) if url is None or v.get(url)]
-                yield pd.DataFrame(rows, columns=["row_idx", *fields])
+            rows = []
+            for k, value in zip(pdf["row_idx"], pdf["value"], strict=True):
+                v = json.loads(value)
+                if url is None or v.get(url):
+                    rows.append([k, *[x if (x := v.get(f)) is None or isinstance(x, str) else json.dumps(x) for f in fields]])
+            yield pd.DataFrame(rows, columns=["row_idx", *fields])
 
     schema = "row_idx long, " + ", ".join(f"`{f}` string" for f in fields)
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(work, schema)
+    return objects(spark, path).select("row_idx", "value").mapInPandas(work, schema)
