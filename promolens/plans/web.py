@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.functions import chunks, text, vocab
-from promolens.operators import compare, crawl, evaluate, tfidf_report, training
+from promolens.operators import compare, crawl, evaluate, fetch, tfidf_report, training
 from promolens.plans.extraction import _quoted
 from promolens.plans.queries import _VENUES, _count, _either, _venues, query
 from promolens.sources import html
@@ -256,3 +256,32 @@ def trained_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = split.where("NOT train").select("text", "btype", F.col("category").alias("truth"))
     return compare.classification_report(training.predicted(model, test), "truth", "label")
 
+
+
+# --- fetching, replayed -------------------------------------------------------------------------------------------------
+
+
+_BUDGET = 20_000
+
+
+@query("fetched_pages", f"""
+WITH p AS (SELECT page_id, CAST(floor(page_id / 8) AS BIGINT) AS venue, coalesce(html, '') AS html FROM pages),
+a AS (SELECT page_id, venue, html, a, CASE WHEN page_id % 11 = 0 THEN 404 WHEN page_id % 13 = 0 OR (page_id % 7 = 0 AND a < 2) THEN 503 ELSE 200 END AS status, (length(html) * 7 * a + page_id * 37) % 14000 AS took, page_id % 17 = 0 AND a = 1 AS broken
+    FROM p, range(1, 5) r(a) WHERE page_id % 29 <> 0 AND a <= 1 + page_id % 4 AND a <= 3),
+o AS (SELECT *, least(took, 10000) AS t, CASE WHEN took > 10000 THEN 'timeout' WHEN broken THEN 'error' WHEN status = 200 THEN 'ok' ELSE 'bad_status' END AS outcome FROM a),
+l AS (SELECT *, min(CASE WHEN outcome = 'ok' OR (outcome = 'bad_status' AND status < 500 AND status <> 429) THEN a END) OVER (PARTITION BY page_id) AS ends FROM o),
+u AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY page_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM l WHERE ends IS NULL OR a <= ends),
+b AS (SELECT page_id, coalesce(sum(total) OVER (PARTITION BY venue ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM (SELECT p.page_id, p.venue, coalesce(sum(t), 0) AS total FROM p LEFT JOIN u USING (page_id) GROUP BY ALL)),
+v AS (SELECT page_id, count(*) AS attempts, sum(t) AS ms, max_by(outcome, a) AS outcome, CASE WHEN max_by(outcome, a) IN ('ok', 'bad_status') THEN max_by(status, a) END AS status, max_by(length(html), a) AS n FROM u JOIN b USING (page_id) WHERE begins + used <= {_BUDGET} GROUP BY page_id)
+SELECT p.page_id, begins::BIGINT AS begins, coalesce(ms, 0)::BIGINT AS ms, coalesce(attempts, 0)::INT AS attempts, status::INT AS status, coalesce(outcome, CASE WHEN begins > {_BUDGET} THEN 'deadline' ELSE 'missing' END) AS outcome,
+    CASE WHEN outcome = 'ok' THEN n ELSE 0 END::INT AS n_chars FROM p JOIN b USING (page_id) LEFT JOIN v USING (page_id)""")
+def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page is asked for, eight pages a venue; the stored responses time out, break off and fail by the pages' ids and lengths."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("http://a.example/"), F.col("page_id").cast("string")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    k, a = F.col("page_id"), F.col("attempt")
+    r = p.withColumn("attempt", F.explode(F.sequence(F.lit(1), F.least(F.lit(3), (1 + k % 4).cast("int"))))).where(k % 29 != 0)
+    r = r.select(
+        "url", "attempt", F.when(k % 11 == 0, 404).when((k % 13 == 0) | ((k % 7 == 0) & (a < 2)), 503).otherwise(200).alias("status"), ((F.length("html") * 7 * a + k * 37) % 14_000).alias("ms"),
+        F.when((k % 17 == 0) & (a == 1), "reset").alias("error"), F.col("html").alias("body"))
+    got = fetch.fetched(p.select("page_id", F.floor(k / 8).alias("venue"), k.alias("ord"), "url"), r, budget=_BUDGET)
+    return got.select("page_id", "begins", "ms", "attempts", "status", "outcome", F.length("html").alias("n_chars"))
