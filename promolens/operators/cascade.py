@@ -87,10 +87,10 @@ def fallback_prompt(df: DataFrame) -> Column:
     return F.when((F.size("candidates") > 0) & ~settled, job.prompt(some, F.col("business_type")))
 
 
-def run(df: DataFrame, fallback: Callable[[], Client]) -> DataFrame:
-    """df (text, business_type, predictions) with ``result``."""
+def run(df: DataFrame, fallback: Callable[[], Client], store: str | None = None) -> DataFrame:
+    """df (text, business_type, predictions) with ``result``, and ``client_error`` where the fallback failed, which is not to find nothing. store: where the fallback's answers are kept."""
     d = model_result(df.withColumn("candidates", text.candidates(F.col("text"))))
-    d = answered(d.withColumn("prompt", fallback_prompt(d)), "prompt", "raw", fallback).withColumn("said", job.parsed_fenced(F.col("raw")))
+    d = answered(d.withColumn("prompt", fallback_prompt(d)), "prompt", "raw", fallback, store).withColumn("said", job.parsed_fenced(F.col("raw")))
     ml, said, conf = F.col("ml"), F.col("said"), F.coalesce(F.col("ml.model_confidence"), F.lit(0.0))
     skipped = job.empty_result("Membership-based incentive — skipped")
     unless_member = lambda r, then: F.when(chunks.is_membership(r["description"], r["teaser"]), skipped).otherwise(then)
@@ -108,4 +108,4 @@ def run(df: DataFrame, fallback: Callable[[], Client]) -> DataFrame:
         .when(ml.isNotNull(), unless_member(ml, ml.withField("source", F.lit("ml_model_fallback"))))
         .otherwise(job.empty_result("No incentive detected"))
     )
-    return d.select(*df.columns, made.alias("result"))
+    return d.select(*df.columns, made.alias("result"), F.col("raw_error").alias("client_error"))

@@ -11,6 +11,7 @@ from promolens.functions import chunks, extract, schedule, text, vocab
 from promolens.operators.clients import Client, answered
 
 PROMPT_CHARS, TEASER_WORDS = 3000, 7
+FAILED = "Client failed: "
 PROMPT = "Find the best promotional offer in a venue's page and answer in JSON with category (one of: {categories}), teaser, timing and value.\nVenue type: {business}\nText:\n"
 REWRITE = "Rewrite in at most 7 words{price}.\nText:\n"
 ANSWER = "category string, teaser string, timing string, value string"
@@ -76,6 +77,15 @@ def result(raw: Column, source: str = "llm") -> Column:
     return text.let(parsed_answer(raw), made)
 
 
+def failed(error: Column) -> Column:
+    """The result of a page whose client gave no answer: no offer is known of it, and its notes say why."""
+    return empty_result(F.concat(F.lit(FAILED), error))
+
+
+def told(raw: Column, error: Column, source: str = "llm") -> Column:
+    return F.when(error.isNotNull(), failed(error)).otherwise(result(raw, source))
+
+
 def rescued(found: Column, pricing: Column) -> Column:
     """A result whose value is unknown takes it from the text of a search for prices, if that tells one."""
     value = extract.value(F.coalesce(pricing, F.lit("")))
@@ -97,19 +107,21 @@ def rewritten(teaser: Column, answer: Column) -> Column:
     return F.when(F.coalesce(good, F.lit(False)), answer).otherwise(teaser)
 
 
-def run(venues: DataFrame, pages: DataFrame, extractor: Callable[[], Client], rewriter: Callable[[], Client] | None = None, pricing: DataFrame | None = None, source: str = "llm") -> DataFrame:
-    """One record for each venue (row_idx, the venue's fields) from pages (row_idx, text, and if it has them scrape_source, scrape_time_s), and pricing (row_idx, pricing_text)."""
+def run(venues: DataFrame, pages: DataFrame, extractor: Callable[[], Client], rewriter: Callable[[], Client] | None = None, pricing: DataFrame | None = None, source: str = "llm", store: str | None = None) -> DataFrame:
+    """One record for each venue (row_idx, the venue's fields) from pages (row_idx, text, and if it has them scrape_source, scrape_time_s), and pricing (row_idx, pricing_text).
+
+    store: where answers are kept (see answered()). A page whose client failed says so in its notes, which begin with FAILED; it is no example of a page without an offer."""
     v = places(venues, "row_idx")
     more = {"scrape_source": F.lit(None).cast("string"), "scrape_time_s": F.lit(0.0)}
     pages = pages.select("row_idx", "text", *[(F.col(c) if c in pages.columns else d).alias(c) for c, d in more.items()])
     d = v.join(pages, "row_idx", "left").withColumn("text", F.coalesce("text", F.lit("")))
-    d = answered(d.withColumn("prompt", prompt(F.col("text"), F.col("business_type"))), "prompt", "raw", extractor)
-    d = d.select(*[c for c in d.columns if c not in ("prompt", "raw")], result(F.col("raw"), source).alias("found"))
+    d = answered(d.withColumn("prompt", prompt(F.col("text"), F.col("business_type"))), "prompt", "raw", extractor, store)
+    d = d.select(*[c for c in d.columns if c not in ("prompt", "raw", "raw_error")], told(F.col("raw"), F.col("raw_error"), source).alias("found"))
     if pricing is not None:
         d = d.join(pricing.select("row_idx", "pricing_text"), "row_idx", "left").withColumn("found", rescued(F.col("found"), F.col("pricing_text"))).drop("pricing_text")
     d = d.withColumn("teaser", F.col("found.teaser"))
     if rewriter is not None:
-        d = answered(d.withColumn("prompt", rewrite_prompt(F.col("teaser"))), "prompt", "short", rewriter).withColumn("teaser", rewritten(F.col("teaser"), F.col("short"))).drop("prompt", "short")
+        d = answered(d.withColumn("prompt", rewrite_prompt(F.col("teaser"))), "prompt", "short", rewriter, store).withColumn("teaser", rewritten(F.col("teaser"), F.col("short"))).drop("prompt", "short", "short_error")
     return d.select(*record())
 
 
@@ -136,12 +148,12 @@ def metrics(records: DataFrame) -> DataFrame:
     return one.crossJoin(F.broadcast(sources))  # one row each
 
 
-def relabelled(records: DataFrame, extractor: Callable[[], Client]) -> DataFrame:
-    """Records with at least 100 characters of page text, labelled anew by an extractor; the old label is kept beside."""
+def relabelled(records: DataFrame, extractor: Callable[[], Client], store: str | None = None) -> DataFrame:
+    """Records with at least 100 characters of page text, labelled anew by an extractor; the old label is kept beside. Those that it failed on are left out: nothing is known of them."""
     m = F.col("_meta")
     d = records.where(F.length(F.coalesce(m["scraped_text"], F.lit(""))) >= 100)
     d = d.select("venue_name", "Business Type", F.coalesce("Incentive Category", F.lit("No Incentive")).alias("old"), m["scraped_text"].alias("text"))
-    d = answered(d.withColumn("prompt", prompt(F.col("text"), F.col("Business Type"))), "prompt", "raw", extractor)
+    d = answered(d.withColumn("prompt", prompt(F.col("text"), F.col("Business Type"))), "prompt", "raw", extractor, store).where("raw_error IS NULL")
     a = parsed_fenced(F.col("raw"))
     d = d.withColumn("a", a)
     none = F.col("a.category") == "No Incentive"

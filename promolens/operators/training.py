@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import extract, text
+from promolens.operators.job import FAILED
 
 POSITIVE = ["claude", "ml_model", "ml_model_fallback"]
 NEGATIVES, LEAST, PAGE, MOST, WORDS, SEED = 60, 10, 50, 2000, 15000, 42
@@ -42,11 +43,13 @@ def _page() -> Column:
 
 
 def run_rows(records: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
-    """A run's records: found offers, and at most ``negatives`` pages without one, those with the least hash."""
+    """A run's records: found offers, and at most ``negatives`` pages without one, those with the least hash. Pages whose client failed are neither."""
     d = records.where(F.length(_page()) >= PAGE)
     c, m = _labels()
     found = _rows(d.where(F.col("_meta.extraction_source").isin(POSITIVE)), F.substring(_page(), 1, MOST), c, m, "Cuisine / Experience Category", "pipeline").where("category IS NOT NULL AND motivator IS NOT NULL")
     none = d.where((F.col("_meta.extraction_source") == "no_result") & (F.col("_meta.text_chars") > 200))
+    if "Notes" in records.columns:
+        none = none.where(~F.coalesce("Notes", F.lit("")).startswith(FAILED))
     none = _rows(none, F.substring(_page(), 1, MOST), F.lit("No Incentive"), F.lit("Value"), "Business Type", "pipeline_neg")
     return found.unionByName(none.orderBy(F.xxhash64("text", F.lit(SEED)), "text").limit(negatives))
 
