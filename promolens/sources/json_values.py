@@ -89,12 +89,12 @@ def cut(text: str, stack: str, in_string: bool) -> Iterator[tuple[str, str, str]
     yield "o" if inside else "g", text[start:], before
 
 
-def good_object(text: str) -> str | None:
-    """The text, if it is one object."""
+def problem(text: str) -> str | None:
+    """What is wrong with a text that should be one object."""
     try:
-        return text if isinstance(json.loads(text), dict) else None
-    except ValueError:
-        return None
+        return None if isinstance(json.loads(text), dict) else "no object"
+    except ValueError as e:
+        return str(e)
 
 
 def gap_fault(text: str, in_array: bool, opens: bool) -> int:
@@ -136,8 +136,13 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, str]]:
         yield keys, whole()
 
 
-def objects(spark: SparkSession, path: str) -> DataFrame:
+def objects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, row_idx, value): the objects' texts, with their position over all files in the order of their paths."""
+    return read(spark, path)[0]
+
+
+def read(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """objects(), and the faults (path, block, reason): for each file with one its first, the byte range that it begins in and what is wrong."""
     m = F.col("_metadata")
     t = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
     t = t.select(m["file_path"].alias("path"), m["file_block_start"].alias("block"), m["file_size"].alias("size"), F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("value"))
@@ -193,26 +198,29 @@ def objects(spark: SparkSession, path: str) -> DataFrame:
     def judged(batches):
         for b in batches:
             kinds, texts, stacks = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("kind", "text", "stack"))
-            fault, begins = [], []
+            fault, begins, why = [], [], []
             for kind, text, stack in zip(kinds, texts, stacks, strict=True):
                 if kind == "o":
-                    fault.append(0 if good_object(text) is not None else 2 if stack else 1)
+                    why.append(problem(text))
+                    fault.append(0 if why[-1] is None else 2 if stack else 1)
                     begins.append(False)
                 else:
                     closes, opens, _ = summary(text, False)
                     in_array = stack[: max(0, len(stack) - len(closes))] + opens == "["
                     fault.append(gap_fault(text, bool(stack), in_array))
                     begins.append(in_array and len(closes) >= len(stack))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fault, pa.int32()), pa.array(begins, pa.bool_())], [*b.schema.names, "fault", "begins"])
+                    why.append(("array without end or with something else in it" if fault[-1] == 2 else f"no JSON between values: {text.strip()[:60]}") if fault[-1] else None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fault, pa.int32()), pa.array(begins, pa.bool_()), pa.array(why, pa.string())], [*b.schema.names, "fault", "begins", "why"])
 
-    schema = "path string, at struct<block:bigint,seg:bigint>, kind string, stack string, text string, fault int, begins boolean"
+    schema = "path string, at struct<block:bigint,seg:bigint>, kind string, stack string, text string, fault int, begins boolean, why string"
     j = kept(whole.select("path", "at", "kind", "stack", "text").mapInArrow(judged, schema), "json-judged")
     # the first fault ends its file; if it is in an array, from where that array begins
-    bad = j.where("fault > 0").groupBy("path").agg(F.min(F.struct("at", "fault")).alias("b")).select("path", "b.at", "b.fault").withColumnsRenamed({"at": "bad", "fault": "how"})
+    bad = j.where("fault > 0").groupBy("path").agg(F.min(F.struct("at", "fault", "why")).alias("b")).select("path", F.col("b.at").alias("bad"), F.col("b.fault").alias("how"), F.col("b.why").alias("reason"))
     begins = j.where("begins").join(F.broadcast(bad) if bad.count() <= FEW else bad, "path").where("how = 2 AND at <= bad").groupBy("path").agg(F.max("at").alias("array"))
     limit = bad.join(begins, "path", "left").select("path", F.when(F.col("how") == 2, F.coalesce("array", F.struct(F.lit(-1).cast("long").alias("block"), F.lit(-1).cast("long").alias("seg")))).otherwise(F.col("bad")).alias("limit"))
     good = j.where("kind = 'o' AND fault = 0").join(limit, "path", "left").where("limit IS NULL OR at < limit").select("path", "at.block", "at.seg", "text")
     n = good.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n"))
     first = offsets(n, ["path", "block"])
     rank = F.row_number().over(W.partitionBy("path", "block").orderBy("seg")) - 1  # a range's objects
-    return good.withColumn("k", rank).join(first, ["path", "block"]).select("path", (F.col("offset") + F.col("k")).alias("row_idx"), F.col("text").alias("value"))
+    good = good.withColumn("k", rank).join(first, ["path", "block"]).select("path", (F.col("offset") + F.col("k")).alias("row_idx"), F.col("text").alias("value"))
+    return good, bad.select("path", F.col("bad.block").alias("block"), "reason")

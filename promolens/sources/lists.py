@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from promolens.operators.evaluate import gold_reasons
 from promolens.operators.training import shuffled
+from promolens.sources.json_values import read
 from promolens.sources.positions import positioned
 
 
@@ -35,10 +36,19 @@ def labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records(spark: SparkSession, *paths: str, schema: str | None = None, relabelled: bool = True) -> DataFrame:
-    """The records of JSON files (an array a file, or a record a line); files that cannot be read are skipped, relabelled ones too if asked."""
-    r = spark.read.option("multiLine", True).option("ignoreCorruptFiles", True).option("mode", "DROPMALFORMED")
-    d = (r.schema(schema) if schema else r).json(list(paths))
-    return d if relabelled else d.where(~F.col("_metadata.file_name").contains("_relabeled"))
+    """The records of JSON files (an array a file, or a record a line); files that are not whole are skipped, relabelled ones too if asked. ``quarantined`` tells which and why."""
+    good, faults = read(spark, list(paths))
+    good = good.join(faults.select("path").distinct(), "path", "left_anti")
+    if not relabelled:
+        good = good.where(~F.element_at(F.split("path", "/"), -1).contains("_relabeled"))
+    if schema is None:
+        schema = spark.read.json(good.select("value").rdd.map(lambda r: r[0])).schema if good.limit(1).count() else "value string"
+    return good.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def quarantined(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, block, reason): a row for each JSON file that ``records`` skips, the byte range of its first fault, and what is wrong there."""
+    return read(spark, list(paths))[1]
 
 
 def known_first(venues: DataFrame, category: str = "Incentive Category", limit: int = 5, order: str = "row_idx") -> DataFrame:

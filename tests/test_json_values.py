@@ -6,6 +6,7 @@ import random
 import pytest
 
 from promolens.sources import json_values as J
+from promolens.sources import lists
 from promolens.sources.tables import json_values, venues
 
 HAND = [
@@ -90,3 +91,18 @@ def test_venues(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"Source URL": "u3", "x": {"y": [1]}}{"Source URL": "u4"} bad')
     got = sorted(tuple(x) for x in venues(spark, str(tmp_path), ["Source URL", "x"]).collect())
     assert got == [(0, "u1", "1"), (2, "u3", '{"y": [1]}'), (3, "u4", None)]
+
+
+def test_record_files(spark, tmp_path):
+    """Files that are not whole come back as rows with a reason; the others' records are read."""
+    (tmp_path / "a.json").write_text('[{"x": 1, "m": {"y": "u"}}, {"x": 2}]')
+    (tmp_path / "b.json").write_text('[{"x": 3}, {"x": 4')
+    (tmp_path / "c_relabeled.json").write_text('{"x": 5}\n{"x": 6}\n')
+    (tmp_path / "d.json").write_text('{"x": 7} oops')
+    (tmp_path / "e.json").write_text("")
+    path = str(tmp_path)
+    assert sorted(r.x for r in lists.records(spark, path, schema="x long, m struct<y:string>").collect()) == [1, 2, 5, 6]
+    assert sorted(r.x for r in lists.records(spark, f"{path}/a.json", f"{path}/c_relabeled.json", relabelled=False).collect()) == [1, 2]
+    got = {r.path.rpartition("/")[2]: (r.block, r.reason) for r in lists.quarantined(spark, path).collect()}
+    assert got.keys() == {"b.json", "d.json"} and got["d.json"] == (0, "no JSON between values: oops") and "char" in got["b.json"][1]
+    assert lists.quarantined(spark, f"{path}/a.json").count() == 0
