@@ -285,3 +285,38 @@ def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((k % 17 == 0) & (a == 1), "reset").alias("error"), F.col("html").alias("body"))
     got = fetch.fetched(p.select("page_id", F.floor(k / 8).alias("venue"), k.alias("ord"), "url"), r, budget=_BUDGET)
     return got.select("page_id", "begins", "ms", "attempts", "status", "outcome", F.length("html").alias("n_chars"))
+
+
+#: What pages embed, by their ids: a graph, an organization with parts, a list with what is no object, and JSON that breaks off.
+_LD = [
+    '{"@context":"x","@graph":[{"@type":"Restaurant","name":"Place {k} on the river","openingHours":["Mo-Fr {d}:00-22:00","Sa 10:00-23:00"]},{"@type":"Event","name":"Jazz night {k}","startDate":"2026-05-0{d}","description":"Free concert"}]}',
+    '{"@type":"Bar","name":"Bar","description":"Cheap drinks and snacks {k}","openingHours":"Mo-Su","makesOffer":[{"name":"Happy hour","price":"{d}"},{"description":"Two for one"},{"price":3}],"hasMenu":{"name":"Lunch","description":"daily"},'
+    '"department":{"name":"Kitchen of {k}","subOrganization":[{"name":"Cellar of {k}"}]}}',
+    '[{"@type":["A","B"],"openingHoursSpecification":[{"dayOfWeek":["Monday","Tuesday"],"opens":"0{d}:00","closes":"18:00"},{"dayOfWeek":"Friday","opens":"10:00"}]},"no object",{"name":"Second block {k}"}]',
+    '{"name": "Broken {k}',
+]
+_LD_TYPES = ["Restaurant,Event", "Bar", '["A","B"],?', ""]
+_LD_TEXTS = [
+    "Place {k} on the river / Mo-Fr {d}:00-22:00 | Sa 10:00-23:00 / Jazz night {k} / Free concert / Event: Jazz night {k} 2026-05-0{d} Free concert",
+    "Cheap drinks and snacks {k} / Opening Hours: Mo-Su / Happy hour:  ${d} / : Two for one / Menu: Lunch daily / Kitchen of {k} / Cellar of {k}", "Monday, Tuesday: 0{d}:00-18:00 / Friday: 10:00- / Second block {k}", "",
+]
+
+
+def _ld_sql(items: list[str]) -> str:
+    return f"replace(replace({_quoted_list(items)}[page_id % 4 + 1], '{{k}}', CAST(page_id AS VARCHAR)), '{{d}}', CAST(page_id % 9 AS VARCHAR))"
+
+
+def _quoted_list(items: list[str]) -> str:
+    return "[" + ", ".join(map(_quoted, items)) + "]"
+
+
+@query("structured_data", f"SELECT page_id, {_ld_sql(_LD_TYPES)} AS types, {_ld_sql(_LD_TEXTS)} AS said, CAST(length(coalesce(html, '')) AS INT) AS n_chars FROM pages")
+def structured_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON-LD that each page is given before its own markup, found in the markup and told in sentences; the SQL states the sentences."""
+    k = F.col("page_id")
+    ld = F.element_at(F.array(*[F.lit(x) for x in _LD]), (k % 4 + 1).cast("int"))
+    ld = F.replace(F.replace(ld, F.lit("{k}"), k.cast("string")), F.lit("{d}"), (k % 9).cast("string"))
+    own = F.coalesce("html", F.lit(""))
+    page = F.concat(F.lit('<script type="application/ld+json">'), ld, F.lit("</script>"), own)
+    m = html.mined(table(spark, sf_dir, "pages").select("page_id", F.length(own).alias("n_chars"), page.alias("html")))
+    return m.select("page_id", F.array_join("jsonld_types", ",").alias("types"), F.array_join("jsonld_text", " / ").alias("said"), "n_chars")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from promolens.functions import chunks, vocab
+from promolens.functions import chunks, structured, vocab
 from promolens.functions.text import is_menu_block
 
 VOID = frozenset("area base br col embed hr img input keygen link menuitem meta param source track wbr basefont bgsound command frame image isindex nextid spacer".split())
@@ -235,24 +235,25 @@ def walked(value, depth: int = 0) -> Iterator[str]:
             yield from walked(v, depth + 1)
 
 
-def _embedded(jsonld: pd.Series, next_data: pd.Series, nuxt: pd.Series) -> pd.DataFrame:
+def _states(next_data: pd.Series, nuxt: pd.Series) -> pd.DataFrame:
     rows = []
-    for scripts, n, x in zip(jsonld, next_data, nuxt, strict=True):
-        blocks, data = ld_blocks(scripts), _loaded(n)
+    for n, x in zip(next_data, nuxt, strict=True):
+        data = _loaded(n)
         props = (data.get("props") or {}).get("pageProps", {}) if isinstance(data, dict) and isinstance(data.get("props") or {}, dict) else None
-        kinds = [t if isinstance(t := b.get("@type", "?"), str) else json.dumps(t) for b in blocks]
-        rows.append((kinds, ld_texts(blocks), props is not None, list(walked(props))[:20], list(walked(_loaded(x)))[:20]))
-    return pd.DataFrame(rows, columns=["jsonld_types", "jsonld_text", "has_next_data", "next_data_texts", "nuxt_texts"])
+        rows.append((props is not None, list(walked(props))[:20], list(walked(_loaded(x)))[:20]))
+    return pd.DataFrame(rows, columns=["has_next_data", "next_data_texts", "nuxt_texts"])
 
 
-def embedded(jsonld: Column, next_data: Column, nuxt: Column) -> Column:
-    kind = "jsonld_types array<string>, jsonld_text array<string>, has_next_data boolean, next_data_texts array<string>, nuxt_texts array<string>"
-    return F.pandas_udf(_embedded, kind)(jsonld, next_data, nuxt)
+def states(next_data: Column, nuxt: Column) -> Column:
+    return F.pandas_udf(_states, "has_next_data boolean, next_data_texts array<string>, nuxt_texts array<string>")(next_data, nuxt)
 
 
 def mined(pages, html: str = "html"):
     """pages with what their markup embeds: size, visible text, meta tags, structured data and framework state."""
-    p = pages.withColumn("__p", parsed(F.col(html))).withColumn("__e", embedded(F.col("__p.jsonld"), F.col("__p.next_data"), F.col("__p.nuxt")))
+    p = pages.withColumn("__p", parsed(F.col(html))).withColumn("__e", states(F.col("__p.next_data"), F.col("__p.nuxt")))
+    p = p.withColumn("__b", F.explode(F.array(F.struct(structured.blocks(F.col("__p.jsonld")).alias("b")))))  # parsed once
+    b = F.col("__b.b")
     return p.select(
-        *pages.columns, F.length(F.coalesce(F.col(html), F.lit(""))).alias("html_size"), F.length("__p.visible").alias("visible_text_chars"), F.col("__p.meta").alias("meta_tags"), F.size("__e.jsonld_types").alias("jsonld_blocks"),
-        "__e.jsonld_types", "__e.jsonld_text", F.col("__p.jsonld").alias("jsonld_raw"), "__e.has_next_data", "__e.next_data_texts", "__e.nuxt_texts", F.substring("__p.visible", 1, 500).alias("visible_text_preview"))
+        *pages.columns, F.length(F.coalesce(F.col(html), F.lit(""))).alias("html_size"), F.length("__p.visible").alias("visible_text_chars"), F.col("__p.meta").alias("meta_tags"), F.size(b).alias("jsonld_blocks"),
+        F.transform(b, lambda x: structured.kind(x)).alias("jsonld_types"), structured.texts(b).alias("jsonld_text"), F.col("__p.jsonld").alias("jsonld_raw"), "__e.has_next_data", "__e.next_data_texts", "__e.nuxt_texts",
+        F.substring("__p.visible", 1, 500).alias("visible_text_preview"))
