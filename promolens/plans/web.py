@@ -320,3 +320,22 @@ def structured_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.concat(F.lit('<script type="application/ld+json">'), ld, F.lit("</script>"), own)
     m = html.mined(table(spark, sf_dir, "pages").select("page_id", F.length(own).alias("n_chars"), page.alias("html")))
     return m.select("page_id", F.array_join("jsonld_types", ",").alias("types"), F.array_join("jsonld_text", " / ").alias("said"), "n_chars")
+
+
+#: Framework state that pages are given by their ids: the last text is one level too deep, others are too short or no content.
+_STATE = (
+    '{"props":{"pageProps":{"title":"Welcome to place number {k}","short":"too short","link":"http://a.example/a/long/link","items":[{"text":"First thing about place {k}"},"  Second thing about it   ",7,null],'
+    '"a":{"b":{"c":{"d":{"e":{"f":{"g":{"h":"This is at depth eight {k}","i":{"j":"This is beyond depth eight"}}}}}}}}}},"page":"/x"}'
+)
+_TOLD = [(0, 1, "$.title", "Welcome to place number {k}"), (1, 3, "$.items[0].text", "First thing about place {k}"), (2, 2, "$.items[1]", "Second thing about it"), (3, 8, "$.a.b.c.d.e.f.g.h", "This is at depth eight {k}")]
+
+
+@query("state_texts", f"SELECT page_id, ord::INT AS ord, depth::INT AS depth, path, replace(text, '{{k}}', CAST(page_id AS VARCHAR)) AS text FROM pages, (VALUES {', '.join(map(str, _TOLD))}) v(ord, depth, path, text) WHERE page_id % 5 <> 4")
+def state_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telling strings of framework state that each page is given before its own markup (every fifth one's breaks off), with depth and path; the SQL states them."""
+    k = F.col("page_id")
+    state = F.replace(F.lit(_STATE), F.lit("{k}"), k.cast("string"))
+    state = F.when(k % 5 == 4, F.substring(state, 1, 80)).otherwise(state)
+    page = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), state, F.lit("</script>"), F.coalesce("html", F.lit("")))
+    p = table(spark, sf_dir, "pages").select("page_id", html.parsed(page).alias("p")).select("page_id", F.col("p.next_data").alias("raw"))
+    return html.state_texts(p, "raw", "props.pageProps").select("page_id", "ord", "depth", "path", "text")

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import chunks, structured, vocab
@@ -222,17 +222,44 @@ def ld_texts(blocks: list) -> list[str]:
     return out
 
 
-def walked(value, depth: int = 0) -> Iterator[str]:
-    """Strings of 20 to 1000 characters that read like content, to a depth of DEPTH, LISTED items of a list."""
+def paths_walked(value, depth: int = 0, path: str = "$") -> Iterator[tuple[int, str, str]]:
+    """(depth, path, text): strings of 20 to 1000 characters that read like content, to a depth of DEPTH, LISTED items of a list."""
     if depth > DEPTH:
         return
     if isinstance(value, str):
         t = value.strip()
         if 20 <= len(t) <= 1000 and not t.startswith(("http", "/", "{", "<")):
-            yield t
-    elif isinstance(value, (dict, list)):
-        for v in value.values() if isinstance(value, dict) else value[:LISTED]:
-            yield from walked(v, depth + 1)
+            yield depth, path, t
+    elif isinstance(value, dict):
+        for k, v in value.items():
+            yield from paths_walked(v, depth + 1, f"{path}.{k}")
+    elif isinstance(value, list):
+        for k, v in enumerate(value[:LISTED]):
+            yield from paths_walked(v, depth + 1, f"{path}[{k}]")
+
+
+def walked(value) -> Iterator[str]:
+    return (t for _, _, t in paths_walked(value))
+
+
+@F.udtf(returnType="ord int, depth int, path string, text string")
+class StateTexts:
+    """A table function: a row for each telling string of a JSON text, in order, with its depth and path; what is no JSON, and null, gives none.
+
+    root: the keys, by dots, of the value to begin at, which has depth 0 and the path $; empty for the whole."""
+
+    def eval(self, raw: str, root: str):
+        value = _loaded(raw)
+        for key in filter(None, (root or "").split(".")):
+            value = value.get(key) if isinstance(value, dict) else None
+        for k, (depth, path, text) in enumerate(paths_walked(value)):
+            yield k, depth, path, text
+
+
+def state_texts(df: DataFrame, raw: Column | str, root: str = "") -> DataFrame:
+    """df, a row for each telling string of its JSON: ord, depth, path, text."""
+    c = F.col(raw) if isinstance(raw, str) else raw
+    return df.lateralJoin(StateTexts(c.outer(), F.lit(root)))
 
 
 def _states(next_data: pd.Series, nuxt: pd.Series) -> pd.DataFrame:

@@ -44,3 +44,35 @@ def test_no_python_worker(spark):
     d = spark.createDataFrame([(["{}"],)], "s array<string>").select(structured.texts(structured.blocks(F.col("s"))))
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and d.first()[0] == []
+
+
+def test_state_texts(spark):
+    """Rows with depth and path, equal to a walk by hand; bad and null JSON give none."""
+    r = random.Random(3)
+
+    def value(depth=0):
+        kind = r.random()
+        if depth > 10 or kind < 0.35:
+            return r.choice(["a text that is long enough " + str(r.random()), "short", "http://a/" + "x" * 30, "  padded text of more than twenty  ", 5, None, "x" * 1001])
+        return {f"k{i}": value(depth + 1) for i in range(r.choice([0, 1, 1, 2]))} if kind < 0.7 else [value(depth + 1) for _ in range(r.randint(0, 2))]
+
+    def walk(v, depth=0, path="$"):
+        if depth > 8:
+            return []
+        if isinstance(v, str):
+            t = v.strip()
+            return [(depth, path, t)] if 20 <= len(t) <= 1000 and not t.startswith(("http", "/", "{", "<")) else []
+        if isinstance(v, list):
+            return [x for i, y in enumerate(v) if i < 50 for x in walk(y, depth + 1, f"{path}[{i}]")]
+        return [x for k, y in v.items() for x in walk(y, depth + 1, f"{path}.{k}")] if isinstance(v, dict) else []
+
+    deep = "text at the bottom of all"
+    for _ in range(8):
+        deep = {"d": deep}
+    values = [value() for _ in range(200)] + [[f"item number {i} of a long list" for i in range(70)], deep, {"e": deep}]
+    rows = [(k, json.dumps({"props": {"pageProps": v}})) for k, v in enumerate(values)] + [(-1, None), (-2, "{"), (-3, "[]"), (-4, "")]
+    d = spark.createDataFrame(rows, "k int, raw string").repartition(3)
+    got = sorted((x.k, x.ord, x.depth, x.path, x.text) for x in html.state_texts(d, "raw", "props.pageProps").collect())
+    want = [(k, i, *t) for k, v in enumerate(values) for i, t in enumerate(walk(v))]
+    assert got == want and max(x[2] for x in want) == 8
+    assert html.state_texts(d.where("k = 0"), F.col("raw")).count() == len([t for t in walk(json.loads(rows[0][1]))])
