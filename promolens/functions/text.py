@@ -122,8 +122,8 @@ def slug(text: Column) -> Column:
 
 
 def clean_url(url: Column) -> Column:
-    """Without query, fragment and trailing slashes."""
-    return F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"/+$", "")
+    """Without the last path segment's ;parameters, query, fragment and trailing slashes."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r";[^/]*$", ""), r"/+$", "")
 
 
 def path_key(url: Column) -> Column:

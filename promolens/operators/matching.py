@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promolens.sources.positions import kept
+
 
 def terms(text: Column, stop: Iterable[str] = ()) -> Column:
     """Lower-case words of two characters or more that are no stop words, then pairs of neighbours among them."""
@@ -23,6 +25,7 @@ def best_chunk(gold: DataFrame, chunks: DataFrame, stop: Iterable[str] = ()) ->
     tf = texts.select("grp", "chunk_id", F.explode(terms(F.col("text"), stop)).alias("term")).groupBy("grp", "term", "chunk_id").agg(F.count(F.lit(1)).alias("tf"))
     idf = F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1
     weighed = tf.join(tf.groupBy("grp", "term").agg(F.count(F.lit(1)).alias("df")), ["grp", "term"]).join(texts.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "grp").select("grp", "term", "chunk_id", (F.col("tf") * idf).alias("w"))
+    weighed = kept(weighed, "weighed")  # three joins read it
     query = weighed.where("chunk_id IS NULL").select("grp", "term", F.col("w").alias("g"))
     shared = weighed.where("chunk_id IS NOT NULL").join(query, ["grp", "term"], "left").groupBy("grp", "chunk_id")
     dots = shared.agg(F.sum(F.col("w") * F.coalesce("g", F.lit(0.0))).alias("dot"), F.sum(F.col("w") * F.col("w")).alias("own"))

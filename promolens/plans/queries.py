@@ -131,7 +131,7 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").where("quality <> toxic").groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("urls", r"""SELECT page_id, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') AS clean,
+@query("urls", r"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), ';[^/]*$', ''), '/+$', '') AS clean,
     CASE WHEN p = '' THEN '/' ELSE p END AS path FROM (SELECT *, regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS p FROM pages)""")
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.clean_url(F.col("url")).alias("clean"), text.path_key(F.col("url")).alias("path"))

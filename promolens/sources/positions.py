@@ -9,6 +9,8 @@ that counting and numbering see the same rows even if a lost executor reads a sp
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -33,9 +35,16 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session is gone already; the folder's owner clears it
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read again."""
+    """df, written to the shared folder and read again; the folder is removed when the driver's Python ends."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_drop, df.sparkSession, path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
