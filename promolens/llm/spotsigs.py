@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from promolens.llm.common import let, table
+from promolens.llm.common import let, table, written
 
 #: Common words of English, French, German and Spanish, the anchors.
 COMMON = """
@@ -150,15 +150,24 @@ def classes(docs: DataFrame) -> DataFrame:
     return d.join(first, "__print").select("doc_id", "class_id")
 
 
+def _sets(docs: DataFrame) -> DataFrame:
+    """(id, sigs, n): the distinct fingerprints with signatures, each with its smallest document."""
+    sets = docs.where("doc_id IS NOT NULL").select("doc_id", signatures(F.col("text")).alias("sigs")).where(F.size("sigs") > 0)
+    return sets.groupBy("sigs").agg(F.min("doc_id").alias("id")).select("id", "sigs", F.size("sigs").alias("n"))
+
+
 def near_pairs(docs: DataFrame, near: float = NEAR) -> DataFrame:
     """(a, b, likeness) for the representatives (smallest ids) of distinct fingerprints whose likeness is at least ``near``."""
-    sets = docs.where("doc_id IS NOT NULL").select("doc_id", signatures(F.col("text")).alias("sigs")).where(F.size("sigs") > 0)
-    sets = sets.groupBy("sigs").agg(F.min("doc_id").alias("id")).withColumn("n", F.size("sigs"))
+    return _near(written(_sets(docs), "sets"), near)
+
+
+def _near(sets: DataFrame, near: float) -> DataFrame:
     rare = sets.select("id", F.explode("sigs").alias("sig"))
     rare = rare.join(rare.groupBy("sig").agg(F.count(F.lit(1)).alias("df")), "sig")
     ordered = rare.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "sig"))), lambda x: x["sig"]).alias("o"))
-    sets = sets.join(ordered, "id").withColumn("part", F.floor(F.log(F.col("n").cast("double")) / math.log(1 / near)).cast("int"))
-    start = sets.withColumn("sig", F.explode(F.slice("o", F.lit(1), F.col("n") - F.ceil(F.col("n") * F.lit(near) - 1e-9).cast("int") + 1))).drop("o", "sigs")
+    least = F.ceil(F.col("n") * F.lit(near) - 1e-9).cast("int")
+    start = sets.join(ordered, "id").withColumn("part", F.floor(F.log(F.col("n").cast("double")) / math.log(1 / near)).cast("int"))
+    start = written(start.select("id", "n", "part", F.explode(F.slice("o", F.lit(1), F.col("n") - least + 1)).alias("sig")), "prefixes")
     probe = start.select(F.col("id").alias("a"), F.col("n").alias("na"), "sig", F.explode(F.array("part", F.col("part") - 1)).alias("part"))
     own = start.select(F.col("id").alias("b"), F.col("n").alias("nb"), "sig", "part")
     # the longer set probes its own length partition and the one below; equal lengths once
@@ -167,4 +176,19 @@ def near_pairs(docs: DataFrame, near: float = NEAR) -> DataFrame:
     return hit.withColumn("likeness", likeness(F.col("sa"), F.col("sb"))).where(F.col("likeness") >= near - 1e-12).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
 
 
-QUERIES, ORACLES = {"op8_spotsigs": query}, {}
+def near_classes(docs: DataFrame, near: float = NEAR) -> DataFrame:
+    """(doc_id, class_id, n_links, best_class, best_likeness) of every document with an id: its class of equal fingerprints, how many other classes are near,
+    and the most alike of them (ties to the smaller id; null if none is near). Documents of equal fingerprints are no links, and pairs of classes are not returned."""
+    p = written(near_pairs(docs, near), "near")
+    both = p.select(F.col("a").alias("class_id"), F.col("b").alias("other"), "likeness").unionByName(p.select(F.col("b").alias("class_id"), F.col("a").alias("other"), "likeness"))
+    links = both.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"), F.min(F.struct((-F.col("likeness")).alias("d"), "other")).alias("x"))
+    links = links.select("class_id", "n_links", F.col("x.other").alias("best_class"), (-F.col("x.d")).alias("best_likeness"))
+    return classes(docs).join(links, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "best_class", "best_likeness")
+
+
+def classes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near fingerprints of all documents by the length-partitioned, pruned join."""
+    return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES, ORACLES = {"op8_spotsigs": query, "spotsigs_classes": classes_query}, {}
