@@ -143,22 +143,30 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _signed(docs: DataFrame) -> DataFrame:
+    """(doc_id, sigs) of the documents with an id."""
+    return docs.where("doc_id IS NOT NULL").select("doc_id", signatures(F.col("text")).alias("sigs"))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id): documents of one class have equal fingerprints; the class is its smallest id."""
-    d = docs.select("doc_id", F.md5(fingerprint(signatures(F.col("text"))).cast("binary")).alias("__print")).where("doc_id IS NOT NULL")
+    return _classes(_signed(docs))
+
+
+def _classes(signed: DataFrame) -> DataFrame:
+    d = signed.select("doc_id", F.md5(fingerprint(F.col("sigs")).cast("binary")).alias("__print"))
     first = d.groupBy("__print").agg(F.min("doc_id").alias("class_id"))
     return d.join(first, "__print").select("doc_id", "class_id")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(signed: DataFrame) -> DataFrame:
     """(id, sigs, n): the distinct fingerprints with signatures, each with its smallest document."""
-    sets = docs.where("doc_id IS NOT NULL").select("doc_id", signatures(F.col("text")).alias("sigs")).where(F.size("sigs") > 0)
-    return sets.groupBy("sigs").agg(F.min("doc_id").alias("id")).select("id", "sigs", F.size("sigs").alias("n"))
+    return signed.where(F.size("sigs") > 0).groupBy("sigs").agg(F.min("doc_id").alias("id")).select("id", "sigs", F.size("sigs").alias("n"))
 
 
 def near_pairs(docs: DataFrame, near: float = NEAR) -> DataFrame:
     """(a, b, likeness) for the representatives (smallest ids) of distinct fingerprints whose likeness is at least ``near``."""
-    return _near(written(_sets(docs), "sets"), near)
+    return _near(written(_sets(_signed(docs)), "sets"), near)
 
 
 def _near(sets: DataFrame, near: float) -> DataFrame:
@@ -179,11 +187,12 @@ def _near(sets: DataFrame, near: float) -> DataFrame:
 def near_classes(docs: DataFrame, near: float = NEAR) -> DataFrame:
     """(doc_id, class_id, n_links, best_class, best_likeness) of every document with an id: its class of equal fingerprints, how many other classes are near,
     and the most alike of them (ties to the smaller id; null if none is near). Documents of equal fingerprints are no links, and pairs of classes are not returned."""
-    p = written(near_pairs(docs, near), "near")
+    signed = written(_signed(docs), "signed")  # signatures are the costly part
+    p = written(_near(written(_sets(signed), "sets"), near), "near")
     both = p.select(F.col("a").alias("class_id"), F.col("b").alias("other"), "likeness").unionByName(p.select(F.col("b").alias("class_id"), F.col("a").alias("other"), "likeness"))
     links = both.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"), F.min(F.struct((-F.col("likeness")).alias("d"), "other")).alias("x"))
     links = links.select("class_id", "n_links", F.col("x.other").alias("best_class"), (-F.col("x.d")).alias("best_likeness"))
-    return classes(docs).join(links, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "best_class", "best_likeness")
+    return _classes(signed).join(links, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "best_class", "best_likeness")
 
 
 def classes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
