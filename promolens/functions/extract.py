@@ -85,16 +85,16 @@ def _mentions(text: Column, pattern: str, most: int, acc: Column) -> Column:
     A match begins where the pieces and matches before it end, so a running position over the pieces between the matches and the
     matches gives every span. A span that begins or ends in one taken before is left out, as is one whose text, but for case, is taken already."""
     p = "(?iuU)" + pattern
-    pairs = F.arrays_zip(F.slice(F.split(text, p), 1, F.size(F.regexp_extract_all(text, F.lit(p), F.lit(0)))).alias("before"), F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("said"))
+    pairs = F.arrays_zip(F.split(text, p).alias("before"), F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("said"))  # the last piece has no match behind it
 
     def step(t: Column, m: Column) -> Column:
         a = t["at"] + F.length(m["before"])
         b = a + F.length(m["said"])
         what = strip(m["said"])
         stabbed = F.exists(t["spans"], lambda x: ((x["a"] <= a) & (a < x["b"])) | ((x["a"] < b) & (b <= x["b"])))
-        new = (F.size(t["spans"]) < most) & ~stabbed & (what != "") & ~F.exists(t["said"], lambda x: F.lower(x) == F.lower(what))
+        new = m["said"].isNotNull() & (F.size(t["spans"]) < most) & ~stabbed & (what != "") & ~F.exists(t["said"], lambda x: F.lower(x) == F.lower(what))
         span = F.array(F.struct(a.alias("a"), b.alias("b")))
-        return F.struct(b.alias("at"), F.when(new, F.concat(t["spans"], span)).otherwise(t["spans"]).alias("spans"), F.when(new, F.concat(t["said"], F.array(what))).otherwise(t["said"]).alias("said"))
+        return F.struct(F.coalesce(b, a).alias("at"), F.when(new, F.concat(t["spans"], span)).otherwise(t["spans"]).alias("spans"), F.when(new, F.concat(t["said"], F.array(what))).otherwise(t["said"]).alias("said"))
 
     return F.when(text.rlike(p), F.aggregate(pairs, F.struct(F.lit(0).alias("at"), acc["spans"].alias("spans"), acc["said"].alias("said")), step)).otherwise(acc)
 
