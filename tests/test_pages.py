@@ -82,6 +82,13 @@ def test_gates(spark):
     assert not own("http://a.b", "Best bars near Joe's", "d") and not own("http://a.b", "Jane's", "d") and not own("http://a.b", "Joe's", "") and not own("http://a.b", "Does Joe's have a happy hour?", "d")
 
 
+def test_borders_of_words(spark):
+    """Words end at letters beyond ASCII, as in the SQL of text_gates."""
+    got = lambda f, x: values(spark, f(F.col("x")), x=x)[0]
+    assert got(text.is_menu_block, "$5 prize $6 Ñtaco mente") and got(text.is_menu_block, "$5 $6 soupé") and not got(text.is_menu_block, "$5 $6 staco")
+    assert got(chunks.has_hours, "é4pm to 5pmñ") and not got(chunks.has_hours, "x4pm to 5pm") and got(chunks.chunk_score, "ñmoné") == 1 and got(chunks.chunk_score, "mont") == 0
+
+
 @pytest.mark.parametrize(
     ("text_", "want"),
     [("Happy hour Monday - Friday 4pm-7pm, daily; every Tuesday at 17:00", "Monday - Friday, Tuesday, 4pm-7pm, 17:00, Happy hour, daily"), ("Mon to Wed", "Mon to Wed"), ("", "Unknown"), (None, "Unknown"), ("noon NOON midnight Jan 5", "noon, midnight, Jan 5")],
