@@ -66,7 +66,7 @@ def fetched(requests: DataFrame, responses: DataFrame, limit: int = LIMIT_MS, bu
 
 def with_texts(pages: DataFrame) -> DataFrame:
     """fetched() pages with ``shell`` (drawn by scripts, so that a browser has to) and ``text``: the telling text of good pages that are no shells, else empty."""
-    d = pages.withColumn("__p", html.parsed(F.when(F.col("outcome") == "ok", F.col("html"))))
+    d = html.with_page(pages, F.when(F.col("outcome") == "ok", F.col("html")), "text", "body", "blocks", "heroes", "div_ids", to="__p")
     shell = (F.col("outcome") == "ok") & html.is_shell(F.col("__p"), F.col("html"))
     d = d.withColumn("shell", F.coalesce(shell, F.lit(False)))
     return d.withColumn("text", F.when((F.col("outcome") == "ok") & ~F.col("shell"), html.relevant_text(F.col("__p"))).otherwise("")).drop("__p")

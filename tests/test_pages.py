@@ -49,6 +49,31 @@ def test_page_columns(spark):
     assert m[0].has_next_data and m[0].next_data_texts == ["a text of twenty characters"] and not m[1].has_next_data and m[1].jsonld_blocks == 0
 
 
+def test_whole_references(spark):
+    """Titles that break off within a character reference, as page_texts and mined_pages have them in their SQL."""
+    t = "<title>a &amp; b&amp</title><p title='&lt &lt;'>c &notit; &copy &#65; &#65 &nosuch;</p><script>x &amp; &amp</script>"
+    text = "a & b&amp c &notit; &copy A &#65 &nosuch;"
+    p = html.page(t, ["text", "title"], whole=True)
+    assert p == {"text": text, "title": "a & b&amp"} and html.page(t, ["title"])["title"] == "a & b&" and html.page("a\ue000&amp", ["text"], whole=True)["text"] == "a\ue000&amp"
+    node = [n for n in html.Tree(t, whole=True).root.walk() if n.tag in ("p", "script")]
+    assert node[0].attrs == {"title": "&lt <"} and node[1].raw() == "x &amp; &amp"
+    d = spark.createDataFrame([(1, t)], "id int, html string")
+    assert html.mined(d, whole=True).first().visible_text_preview == text
+
+
+def test_batches_of_pages(spark):
+    """However many pages a batch brings, what they hold is handed on a little at a time; every field is the column form's."""
+    import pyarrow as pa
+
+    many = [PAGE, None, "<div>" * 200 + "x" * 3000 + "</div>" * 200] * 40
+    got = list(html._batches(iter([pa.RecordBatch.from_arrays([pa.array(range(120)), pa.array(many)], ["id", "p"])]), ["blocks", "meta", "state"], False))
+    assert [k for b in got for k in b.column(0).to_pylist()] == list(range(120)) and len(got) > 10
+    assert max(sum(map(html._size, b.column(1).to_pylist())) for b in got) < 2 * html.BATCH + 4_000_000
+    d = spark.createDataFrame([(1, PAGE, [1]), (2, None, None)], "id int, html string, `odd name` array<int>")
+    want = d.withColumn("p", html.parsed(F.col("html"))).orderBy("id").collect()
+    assert html.with_page(d, F.col("html"), *html.FIELDS).orderBy("id").collect() == want
+
+
 def test_embedded_walk():
     assert list(html.walked({"a": ["x" * 20] * 60})) == ["x" * 20] * 50
     deep = "y" * 20
