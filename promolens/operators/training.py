@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from promolens.functions import extract, text
 from promolens.operators.job import FAILED
+from promolens.sources.positions import kept
 
 POSITIVE = ["claude", "ml_model", "ml_model_fallback"]
 NEGATIVES, LEAST, PAGE, MOST, WORDS, SEED = 60, 10, 50, 2000, 15000, 42
@@ -63,7 +64,8 @@ def relabelled_rows(records: DataFrame) -> DataFrame:
 def dataset(*sources: DataFrame) -> DataFrame:
     """All sources together, cleaned; rows without text or labels, of less than 10 characters or with spaced-out letters go."""
     d = reduce(DataFrame.unionByName, [s.select(*COLUMNS) for s in sources]).na.drop(subset=["text", "category", "motivator"])
-    d = d.withColumn("text", text.ascii_clean(text.strip(F.col("text")))).withColumn("btype", F.coalesce("btype", F.lit("Other")))
+    # a generator's column: filters over a plain one would clean the text anew wherever they name it
+    d = d.withColumn("text", F.explode(F.array(text.ascii_clean(text.strip(F.col("text")))))).withColumn("btype", F.coalesce("btype", F.lit("Other")))
     return d.where((F.length("text") >= LEAST) & ~text.has_spaced_chars(F.col("text")))
 
 
@@ -103,6 +105,21 @@ def classifier(words: int = WORDS) -> Pipeline:
     return Pipeline(stages=[*features(words), *heads])
 
 
+def fitted(train: DataFrame, words: int = WORDS) -> PipelineModel:
+    """classifier(words) fitted to train (with ``weight``), for texts in large numbers: they are read to find the words and once more to count them; what the
+    later stages learn from, counts and then features, is written, not made anew from the texts by each of their passes."""
+    stages = classifier(words).getStages()
+    counted = next(k for k, s in enumerate(stages) if isinstance(s, CountVectorizer)) + 1
+    assembled = next(k for k, s in enumerate(stages) if isinstance(s, VectorAssembler)) + 1
+    d, made = train, []
+    for part, columns in ((stages[:counted], ["counts", "btype"]), (stages[counted:assembled], ["features"]), (stages[assembled:], [])):
+        model = Pipeline(stages=part).fit(d)
+        made += model.stages
+        if columns:
+            d = kept(model.transform(d).select(*columns, "category", "motivator", "cuisine", "weight"), columns[0])
+    return PipelineModel(made)
+
+
 def labels_of(model: PipelineModel) -> dict[str, list[str]]:
     """Each label's classes in the order of their numbers."""
     return {s.getInputCol(): list(s.labels) for s in model.stages if hasattr(s, "labels") and s.getInputCol() != "btype"}

@@ -146,3 +146,16 @@ def test_training(spark, tmp_path):
     assert sorted((x.source, x.category, len(x.text)) for x in training.run_rows(r).collect()) == [("pipeline", "Free", 2000), ("pipeline", "Happy Hour", 60), ("pipeline", "No Incentive", 90), ("pipeline_neg", "No Incentive", 300)]
     assert sorted(x.category for x in training.relabelled_rows(r).collect()) == ["Free", "Free", "Happy Hour"] and training.gold_rows(r).count() == 0
     assert training.run_rows(r, negatives=0).where("source = 'pipeline_neg'").count() == 0
+
+
+def test_training_reads_texts_once(spark, monkeypatch):
+    texts = {"Happy Hour": "five dollar beers from four to six", "No Incentive": "we are open every day, call us now"}
+    d = training.dataset(spark.createDataFrame([(f"{t} number {k}", c, "Value" if k % 3 else "FOMO", "ab"[k % 2], "Dining", "x") for c, t in texts.items() for k in range(20)], ", ".join(f"{c} string" for c in training.COLUMNS)))
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("[^\\x00-\\x7F]") == 1  # each filter had cleaned the text anew
+    train = training.weighted(d)
+    names, kept = [], training.kept
+    monkeypatch.setattr(training, "kept", lambda df, name: names.append(name) or kept(df, name))
+    model = training.fitted(train, 50)
+    assert names == ["counts", "features"]
+    told = lambda m: sorted(training.predicted(m, d.select("text", "btype")).select("text", "label", "motivator", "cuisine").collect())
+    assert told(model) == told(training.classifier(50).fit(train)) and training.labels_of(model)["cuisine"] == ["a", "b"]
