@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from promolens.functions import structured
@@ -76,3 +77,32 @@ def test_state_texts(spark):
     want = [(k, i, *t) for k, v in enumerate(values) for i, t in enumerate(walk(v))]
     assert got == want and max(x[2] for x in want) == 8
     assert html.state_texts(d.where("k = 0"), F.col("raw")).count() == len([t for t in walk(json.loads(rows[0][1]))])
+
+
+def test_page_state_texts(spark, monkeypatch):
+    """As by a page's whole tree, wherever its script stands, and the markup is not handed on; batches are small."""
+    state = json.dumps({"props": {"pageProps": ["the first text of this page", {"k": "the second text of this page"}, "short"]}})
+    script = f'<script id="__NEXT_DATA__">{state}</script>'
+    pages = [
+        script, f"<p>before<b>{script}", f'<!-- {script} --><p>a</p>{script.replace("first", "third")}', script[:-9], script[:60], f'<script id="__NEXT_DATA__"/>{script}', f"<script>x</script>{script}<p>{script.replace('first', 'third')}",
+        f'<div id="__NEXT_DATA__">{state}</div>', f"<SCRIPT type=a ID=__NEXT_DATA__>{state}</SCRIPT >", f'<script id="&#95;_NEXT_DATA__">{state}</script>', f"<textarea>{script}</textarea>", f"</script>{script}</p>", f'<script id="__NEXT_DATA__"></script>{script}', "", None,
+    ]
+    for p in pages:
+        assert html.next_data(p) == html.page(p, ["next_data"])["next_data"], p
+    d = spark.createDataFrame(list(enumerate(pages)), "k int, html string").repartition(2)
+    got = html.page_state_texts(d, root="props.pageProps")
+    want = html.state_texts(html.with_page(d.select("k", F.col("html").alias("p")), F.col("p"), "next_data").select("k", "p.next_data"), "next_data", "props.pageProps").drop("next_data")
+    assert got.columns == ["k", "ord", "depth", "path", "text"] and len(rows := got.collect()) > 15 and sorted(rows) == sorted(want.collect())
+    monkeypatch.setattr(html, "BATCH", 100)
+    b = pa.RecordBatch.from_pydict({"k": [1, 2, 3], "html": [script, None, script]})
+    assert [(x.num_rows, x.column(0)[0].as_py()) for x in html._told(iter([b]), "props.pageProps")] == [(3, 1), (1, 3)]
+
+
+def test_state_texts_query_plan(spark, tmp_path):
+    """One Python worker a task for reading and walking."""
+    from promolens.plans import web
+
+    spark.createDataFrame([(1, "<p>a</p>")], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = web.state_texts(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "UDTF" not in plan and got.count() == 4
