@@ -413,6 +413,45 @@ def test_mixer_spelling_learns_from_all_words(spark):
     assert mixer.byte_pairs(many)[1][1] > model.codes.sizes[1] > 15
 
 
+def test_mixer_context_across_words(spark, tmp_path):
+    """context_score knows what words follow each other, score does not; what it adds are probabilities of openings under both."""
+    r = random.Random(8)
+    words = [a + "".join(r.choices("aeioubcd", k=4)) for a in "abcdefgh" for _ in range(6)]
+
+    def text(k, chained):
+        at = [r.randrange(48) for _ in range(150)]
+        for i in range(1, 150 * chained):
+            at[i] = at[i - 1] * 5 % 8 * 6 + r.randrange(6)  # the word before tells the first letter
+        return (k, " ".join(words[i] for i in at))
+
+    gained = {}
+    for chained in (True, False):
+        spark.createDataFrame([text(k, chained) for k in range(300)], "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/{chained}/documents.parquet")
+        held = [x for x in mixer.query(spark, f"{tmp_path}/{chained}").collect() if x.held_out]
+        gained[chained] = sum(x.context_score - x.score for x in held) / sum(x.n_tokens for x in held)
+    assert gained[True] > 0.5 and abs(gained[False]) < 0.05 and len(held) > 15
+    # the contexts by hand
+    texts = ["The end. (of it)\n\nthe  9th \u00e9t\u00e9", "", None, "one", "X" * 30 + ' "quoted" - \x00']
+    t = mixer.Tokens(texts)
+    kind = lambda x: 0 if not x else ord(x) - 96 if "a" <= x <= "z" else 27 if "0" <= x <= "9" else 28 if x > "\x7f" else 29 if x in "\"'([{<" else 30 if "!" <= x <= "~" else 31
+    want = []
+    for x in texts:
+        before, ended = 0, ""
+        for gap, w in plain_tokens(x):
+            want.append((((int(gap != " ") << 5 | kind(ended)) << 10 | before >> 54) << 5) | kind(w[:1]))
+            before, ended = int(mixer.word_hashes(pa.array([w.encode()], pa.binary()))[0]), w[-1:]
+    assert mixer.openings(t).tolist() == want
+    # both sum up to one
+    met = np.zeros((2, mixer.SLOTS * mixer.KINDS), np.int64)
+    np.add.at(met, ([k % 2 for k in range(3000)], [r.choice(want) + r.randrange(3) // 2 for _ in range(3000)]), 1)
+    assert np.allclose((10.0 ** mixer.Openings(met).logs.astype(float)).sum(1), 1, atol=1e-4)
+    model = mixer.learn(spark.createDataFrame([(bytearray(w.encode()), 3, 2) for w in [*words, ""]], "word binary, a long, b long"))
+    of_kind = np.zeros((2, mixer.KINDS), np.int64)
+    for w in [*words, ""]:
+        of_kind[:, kind(w[:1])] += [5, 1]
+    assert math.isclose((10.0 ** mixer.opened(model, of_kind, 5 * 49, 0.5, 0.5 * 49 / (5 * 49))).sum(), 1, abs_tol=1e-3)
+
+
 def test_mixer_of_nothing(spark, empty, tmp_path):
     empty.write.parquet(f"{tmp_path}/none/documents.parquet")
     assert mixer.query(spark, f"{tmp_path}/none").count() == 0
