@@ -3,11 +3,14 @@
 import base64
 import hashlib
 import math
+import pickle
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -413,6 +416,46 @@ def test_mixer_spelling_learns_from_all_words(spark):
     assert mixer.byte_pairs(many)[1][1] > model.codes.sizes[1] > 15
 
 
+def test_mixer_memory_of_a_worker(spark):
+    """Two workers share an executor with its heap: what counting, and a model with tables of the largest size, take; counts beyond 16 bits are whole."""
+    r = random.Random(3)
+    words = [b"e" * 4095] * 50 + ["".join(r.choices("abcdefghij", k=6)).encode() for _ in range(60000)]
+    codes = mixer.Codes(np.ones((256, 256), np.int64), [16, mixer.CAP, mixer.CAP])
+
+    class Kept:  # in place of a DataFrame
+        def mapInArrow(self, work, _):
+            self.work = work
+            return self
+
+        select = withColumn = groupBy = applyInArrow = lambda self, *_: self
+
+        def collect(self):
+            return []
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            return work(), tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    kept = Kept()
+    mixer.tables([kept], SimpleNamespace(value=codes))
+    rows, counting = peak(lambda: [x for b in kept.work(pa.RecordBatch.from_arrays([pa.array(words[k : k + 9000], pa.binary())], ["word"]) for k in range(0, len(words), 9000)) for x in b.to_pylist()])
+    got = [np.zeros((1 << b, 2), np.int64) for b in codes.sizes]
+    for x in rows:
+        n = len(x["counts"]) // 10
+        at = np.frombuffer(x["counts"], np.uint16, n).astype(np.int64) + (x["block"] << mixer.BLOCK_BITS)
+        got[x["k"]][at] = np.frombuffer(x["counts"][2 * n :], np.int32).reshape(2, n).T
+    bit, _, slots, _ = mixer.decisions(pa.array(words, pa.binary()), codes)
+    for s, n in zip(slots, got, strict=True):
+        assert (n.ravel() == np.bincount(s.astype(np.int64) << 1 | bit, minlength=n.size)).all()
+    assert got[1].max() > 1 << 17
+    sent = pickle.dumps(mixer.Model(codes, [np.zeros(1 << b, np.uint8) for b in codes.sizes]))
+    _, loading = peak(lambda: pickle.loads(sent))
+    assert counting < 130 and loading < 60, (counting, loading)
+
+
 def test_mixer_context_across_words(spark, tmp_path):
     """context_score knows what words follow each other, score does not; what it adds are probabilities of openings under both."""
     r = random.Random(8)
