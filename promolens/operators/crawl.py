@@ -74,13 +74,17 @@ def search_query(name: Column, city: Column, terms: Column | str = "happy hour s
     return F.trim(F.concat(F.lit('"'), name, F.lit('" '), F.coalesce(city, F.lit("")), F.lit(" "), terms if isinstance(terms, Column) else F.lit(terms)))
 
 
-def crawled_item(pages: DataFrame) -> DataFrame:
-    """pages (with status, and p as the HTML reader gives it) as scraped items: title, score, hits, best chunk, the first eight chunks, failure class."""
-    from promolens.sources.html import candidate_chunks
+def crawled_item(pages: DataFrame, listed: int | None = None, chars: int | None = None) -> DataFrame:
+    """pages (with status, and p as the HTML reader gives it) as scraped items: title, score, hits, best chunk, all chunks, failure class.
 
-    d = pages.withColumn("chunks", candidate_chunks(F.col("p"))).withColumn("page", chunks.clean_text(F.col("p.text"))).withColumn("page_title", chunks.clean_text(F.col("p.title")))
-    best = F.get("chunks", F.lit(0))
+    Every chunk is listed, with its whole text; listed=8, chars=1000 cut both, as the reference's items do."""
+    from promolens.sources.html import telling_chunks
+
+    d = pages.withColumn("page", chunks.clean_text(F.col("p.text"))).withColumn("page_title", chunks.clean_text(F.col("p.title"))).withColumn("told", chunks.told(F.col("page")))
+    d = d.withColumn("chunks", telling_chunks(F.col("p"), F.col("told")))
+    best, shown = F.get("chunks", F.lit(0)), lambda t: t if chars is None else F.substring(t, 1, chars)
     return d.select(
-        *[c for c in pages.columns if c != "p"], "page_title", F.length("page").alias("text_chars"), chunks.chunk_score(F.col("page")).alias("incentive_score"), F.array_join(chunks.keyword_hits(F.col("page")), ", ").alias("keyword_hits"),
-        F.coalesce(best["text"], F.lit("")).alias("top_candidate_text"), F.coalesce(best["score"], F.lit(0)).alias("top_candidate_score"), F.array_join(F.transform(F.slice("chunks", 1, 8), lambda c: c["text"]), " ||| ").alias("all_candidate_chunks"),
+        *[c for c in pages.columns if c != "p"], "page_title", F.length("page").alias("text_chars"), chunks.told_score(F.col("told")).alias("incentive_score"), F.array_join("told.hits", ", ").alias("keyword_hits"),
+        F.coalesce(shown(best["t"]), F.lit("")).alias("top_candidate_text"), F.coalesce(best["s"], F.lit(0)).alias("top_candidate_score"),
+        F.array_join(F.transform("chunks" if listed is None else F.slice("chunks", 1, listed), lambda c: shown(c["t"])), " ||| ").alias("all_candidate_chunks"),
         chunks.failure(F.col("status"), F.col("page_title"), F.col("page"), F.size("chunks")).alias("failure_type"))

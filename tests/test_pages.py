@@ -172,3 +172,33 @@ def test_mined_columns(spark):
         assert sorted(got.collect()) == sorted(html.mined(d).select("id", *only).collect()) and got.columns == ["id", *only]
     plan = html.mined(d, only=["jsonld_text"])._jdf.queryExecution().analyzed().toString()
     assert "visible" not in plan and "meta" not in plan
+
+
+def test_items_list_every_chunk(spark, tmp_path):
+    """No chunk of a page is left out of its item or cut, however many there are and however long; what lies in a template alone counts too."""
+    from promolens.plans.web import scraped_items
+
+    long = "Happy hour special " + " ".join(f"w{i}" for i in range(900))
+    each = [f"Chunk {i} of this page has a discount" for i in range(25)]
+    day = "mon is when you come here, as all of us do"
+    sheet = "Karaoke on monday, for $5 a song and more"
+    rows = [(5, "<body>" + "".join(f"<li>{t}</li>" for t in each) + f"<p>{long}</p><p>Nothing to be told here, in thirty letters</p></body>"), (10, f"<p>An offer in thirty letters or more</p><template><p>{sheet}</p></template>"), (12, None), (15, f"<p>x{day} it was</p><template><p>{day}</p></template>")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r for r in scraped_items(spark, str(tmp_path)).collect()}
+    assert got[5].all_candidate_chunks.split(" ||| ") == [long, *each] and got[5].top_candidate_text == long and got[5].top_candidate_score == 2 and got[5].failure_type == "ok"
+    assert got[10].all_candidate_chunks.split(" ||| ") == [sheet, "An offer in thirty letters or more"] and got[10].top_candidate_score == 5 and got[10].incentive_score == 1 and got[10].keyword_hits == "offer"
+    assert (got[12].all_candidate_chunks, got[12].top_candidate_text, got[12].top_candidate_score, got[12].failure_type) == ("", "", 0, "blocked_or_forbidden")
+    assert (got[15].all_candidate_chunks, got[15].top_candidate_score, got[15].incentive_score) == (day, 1, 0)
+    d = html.with_page(spark.createDataFrame(rows, "page_id long, html string").withColumn("status", F.lit(200)), F.col("html"), "text", "title", "chunks")
+    cut = {r.page_id: r for r in crawl.crawled_item(d, listed=8, chars=1000).collect()}  # the reference's item
+    assert cut[5].all_candidate_chunks.split(" ||| ") == [long[:1000], *each[:7]] and cut[5].top_candidate_text == long[:1000]
+    assert [c.text for c in d.where("page_id = 5").select(html.candidate_chunks(F.col("p")).alias("c")).first().c] == [long[:1000], *each[:19]]
+
+
+@pytest.mark.parametrize("t", ["Happy hour mon $5, 20 % off", "xmon monx mon_", "ñmoné", "(WEEKLY) $ 7", "Free deals, groups: group discount 5%", "", None, "KKweekly weeKly"])
+def test_told(spark, t):
+    """What a text tells is what its score and hits count, also when only that of a longer text is looked for."""
+    one = chunks.told(F.col("x"))
+    within = chunks.told(F.col("x"), chunks.told(F.concat(F.lit("Early bird special daily, $9 or 9% "), F.coalesce("x", F.lit("")))))
+    score, keys, *found = values(spark, chunks.chunk_score(F.col("x")), chunks.keyword_hits(F.col("x")), one.alias("a"), within.alias("b"), chunks.told_score(one), x=t)
+    assert found[2] == score and found[0].hits == keys and found[0] == found[1]
